@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import sharding, warc
+from tallyforge.llm import sharding, simhash, warc
 
 
 def queries():
     return {
+        "op1_simhash": simhash.op1,
         "op8_warc_roundtrip": warc.op8,
         "op10_shard_interleave": sharding.op10,
     }
