@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import langid, quality, sharding, simhash, toxicity, warc
+from tallyforge.llm import langid, quality, secrets, sharding, simhash, toxicity, warc
 
 
 def queries():
     return {
         "op1_simhash": simhash.op1,
         "op4_toxicity": toxicity.op4,
+        "op5_secrets": secrets.op5,
         "op6_langid": langid.op6,
         "op7_quality": quality.op7,
         "op8_warc_roundtrip": warc.op8,
