@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import decontaminate, langid, quality, secrets, sharding, simhash, toxicity, warc
+from tallyforge.llm import decontaminate, langid, mixing, quality, secrets, sharding, simhash, toxicity, warc
 
 
 def queries():
     return {
         "op1_simhash": simhash.op1,
         "op2_decontaminate": decontaminate.op2,
+        "op3_mixing": mixing.op3,
         "op4_toxicity": toxicity.op4,
         "op5_secrets": secrets.op5,
         "op6_langid": langid.op6,
