@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import decontaminate, langid, mixing, quality, secrets, sharding, simhash, toxicity, warc
+from tallyforge.llm import decontaminate, langid, lm, mixing, quality, secrets, sharding, simhash, toxicity, warc
 
 
 def queries():
@@ -15,6 +15,7 @@ def queries():
         "op6_langid": langid.op6,
         "op7_quality": quality.op7,
         "op8_warc_roundtrip": warc.op8,
+        "op9_lm_mixing": lm.op9,
         "op10_shard_interleave": sharding.op10,
     }
 
