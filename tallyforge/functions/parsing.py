@@ -23,10 +23,23 @@ def present(c: Column) -> Column:
     return F.when(~c.isin(MISSING), c)
 
 
+def bind(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def to_number(c: Column) -> Column:
     """A finite double, or null. Words such as inf, NaN or 5d are no numbers."""
-    plain = F.when(_stripped(c).rlike(NUMBER), _stripped(c)).try_cast("double")
-    return F.when(F.abs(plain) < F.lit(float("inf")), plain)
+    plain = bind(_stripped(c), lambda x: F.when(x.rlike(NUMBER), x).try_cast("double"))
+    return bind(plain, lambda x: F.when(F.abs(x) < F.lit(float("inf")), x))
+
+
+def _decimal_point(signed: Column) -> Column:
+    """Of point and comma the later one is the decimal mark; a comma alone is one before exactly two digits."""
+    point, comma = F.locate(".", F.reverse(signed)), F.locate(",", F.reverse(signed))  # counted from the end; 0: none
+    without = lambda mark: F.replace(signed, F.lit(mark), F.lit(""))
+    comma_decimal = ((point > 0) & (comma < point)) | ((point == 0) & signed.rlike(r"^-?\d+,\d{2}$"))
+    return F.when(comma == 0, signed).when(comma_decimal, F.replace(without("."), F.lit(","), F.lit("."))).otherwise(without(","))
 
 
 def amount_text(raw: Column) -> Column:
@@ -34,12 +47,7 @@ def amount_text(raw: Column) -> Column:
     bare = _stripped(F.regexp_replace(F.regexp_replace(_stripped(raw), CURRENCY_SIGNS, ""), CURRENCY_CODES, ""))
     accounting = F.regexp_replace(bare, r"^\((.*)\)$", "-$1")
     signed = _stripped(F.regexp_replace(accounting, r"^(.*)-$", "-$1"))
-    point, comma = F.locate(".", F.reverse(signed)), F.locate(",", F.reverse(signed))  # counted from the end; 0: none
-    without = lambda c, mark: F.replace(c, F.lit(mark), F.lit(""))
-    european = F.replace(without(signed, "."), F.lit(","), F.lit("."))
-    comma_decimal = ((point > 0) & (comma < point)) | ((point == 0) & signed.rlike(r"^-?\d+,\d{2}$"))
-    read = F.when(comma == 0, signed).when(comma_decimal, european).otherwise(without(signed, ","))
-    return F.when(F.length(_stripped(raw)) > 0, read)
+    return bind(signed, lambda x: F.when(F.length(x) > 0, _decimal_point(x)))
 
 
 def amount(raw: Column, cents: bool = False, direction: Column | None = None) -> Column:
@@ -68,33 +76,46 @@ def _parsed(c: Column, pattern: str) -> Column:
     return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
 
 
-def timestamp(raw: Column, day_first: bool = True) -> Column:
-    """A naive timestamp, or null. Each value is parsed by its own layout; values with an offset are brought to UTC,
-    numbers alone (epochs, serial dates) are no dates. Of numeric dates the preferred reading is tried first."""
-    x = F.regexp_replace(_stripped(raw), r"\s+", " ")
-    dashed = F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3"), r"(\d)T(\d)", "$1 $2"), r"\.\d+$", "")
-    both = lambda year: [f"d-M-{year}{CLOCK}", f"M-d-{year}{CLOCK}"][:: 1 if day_first else -1]
-    either = lambda year: F.coalesce(*[_parsed(dashed, p) for p in both(year)])
-    named = F.initcap(F.replace(F.replace(F.replace(x, F.lit(","), F.lit("")), F.lit("-"), F.lit(" ")), F.lit("T"), F.lit(" ")))
+def _full_year(dashed: Column) -> Column:
+    """Two-digit years from 69 on are of the last century."""
+    year = F.regexp_extract(dashed, r"^\d+-\d+-(\d{2})", 1).try_cast("int")
+    century = F.when(year >= 69, "$1-19$2").otherwise("$1-20$2")
+    return F.regexp_replace(dashed, F.lit(r"^(\d+-\d+)-(\d{2})"), century)
+
+
+def _dated(x: Column, day_first: bool) -> Column:
+    dashed = F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3"), r"(\d)T(\d)", "$1 $2"), r"(:\d+)\.\d+$", "$1")
+    orders = [f"d-M-yyyy{CLOCK}", f"M-d-yyyy{CLOCK}"][:: 1 if day_first else -1]
+    either = lambda c: bind(c, lambda y: F.coalesce(*[_parsed(y, p) for p in orders]))
+    named = F.initcap(F.regexp_replace(F.translate(x, ",-", "  "), r"\s+|(?<=\d)T(?=\d)", " "))
+    name = lambda p: bind(named, lambda y: F.coalesce(*[_parsed(y, q + CLOCK) for q in p]))
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), x.try_cast("timestamp").cast("timestamp_ntz"))
     return (
         F.when(x.rlike(ISO), F.coalesce(x.try_cast("timestamp_ntz"), _parsed(dashed, f"yyyy-M-d{CLOCK}")))
         .when(x.rlike(ISO_ZONE), utc)
         .when(x.rlike(YEAR_FIRST), _parsed(dashed, f"yyyy-M-d{CLOCK}"))
-        .when(x.rlike(NUMERIC), either("yyyy"))
-        .when(x.rlike(NUMERIC_SHORT), either("yy"))
-        .when(x.rlike(DAY_NAME), F.coalesce(_parsed(named, f"d MMM yyyy{CLOCK}"), _parsed(named, f"d MMMM yyyy{CLOCK}")))
-        .when(x.rlike(NAME_DAY), F.coalesce(_parsed(named, f"MMM d yyyy{CLOCK}"), _parsed(named, f"MMMM d yyyy{CLOCK}")))
+        .when(x.rlike(NUMERIC), either(dashed))
+        .when(x.rlike(NUMERIC_SHORT), either(_full_year(dashed)))
+        .when(x.rlike(DAY_NAME), name(["d MMM yyyy", "d MMMM yyyy"]))
+        .when(x.rlike(NAME_DAY), name(["MMM d yyyy", "MMMM d yyyy"]))
     )
 
 
+def timestamp(raw: Column, day_first: bool = True) -> Column:
+    """A naive timestamp, or null. Each value is parsed by its own layout; values with an offset are brought to UTC,
+    numbers alone (epochs, serial dates) are no dates. Of numeric dates the preferred reading is tried first."""
+    return bind(F.regexp_replace(_stripped(raw), r"\s+", " "), lambda x: _dated(x, day_first))
+
+
 def only_as(raw: Column, day_first: bool) -> Column:
     """Whether a numeric date can be read this way and not the other."""
-    x = F.regexp_replace(_stripped(raw), r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3")
-    first, second = (F.split(x, "-")[i].try_cast("int") for i in (0, 1))
-    numeric = _stripped(raw).rlike(NUMERIC) | _stripped(raw).rlike(NUMERIC_SHORT)
-    large, small = (first, second) if day_first else (second, first)
-    return F.coalesce(numeric & large.between(13, 31) & small.between(1, 12), F.lit(False))
+
+    def judge(x: Column) -> Column:
+        first, second = (F.regexp_extract(x, r"^(\d+)[/.-](\d+)", i).try_cast("int") for i in (1, 2))
+        large, small = (first, second) if day_first else (second, first)
+        return F.coalesce((x.rlike(NUMERIC) | x.rlike(NUMERIC_SHORT)) & large.between(13, 31) & small.between(1, 12), F.lit(False))
+
+    return bind(_stripped(raw), judge)
 
 
 def pseudonym(value: Column, salt: str = SALT) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.operators.narrate import whole
+from tallyforge.operators.shape import decimals
+
 GOOD, WEAK = 0.15, 0.03
 BUCKETS = 1024
 
@@ -100,12 +103,11 @@ def perplexity(loss: Column) -> Column:
 
 def facts_string(f) -> Column:
     """The facts that a summary may use, as ``name: value`` pairs. ``f``: a function from a fact's name to its column."""
-    two = lambda c: F.format_string("%.2f", c.cast("decimal(30,6)"))
     parts = [
-        F.concat(F.lit("total: "), two(f("total_spend"))), F.concat(F.lit("count: "), f("transaction_count").cast("string")),
-        F.concat(F.lit("top category: "), f("top_category"), F.lit(" ("), two(f("top_category_amount")), F.lit(")")),
-        F.concat(F.lit("top merchant: "), f("top_merchant")), F.concat(F.lit("largest: "), two(f("max_amount"))),
-        F.concat(F.lit("trend: "), f("trend_direction"), F.lit(" "), F.format_string("%.0f", f("trend_pct").cast("decimal(30,6)")), F.lit("%")),
+        F.concat(F.lit("total: "), decimals(f("total_spend"))), F.concat(F.lit("count: "), f("transaction_count").cast("string")),
+        F.concat(F.lit("top category: "), f("top_category"), F.lit(" ("), decimals(f("top_category_amount")), F.lit(")")),
+        F.concat(F.lit("top merchant: "), f("top_merchant")), F.concat(F.lit("largest: "), decimals(f("max_amount"))),
+        F.concat(F.lit("trend: "), f("trend_direction"), F.lit(" "), whole(f("trend_pct")), F.lit("%")),
     ]
     return F.concat_ws(", ", *parts)
 
@@ -114,7 +116,7 @@ def fact_inclusion(text: Column, f) -> Column:
     """The share of up to five facts that a text holds: total, count, top category, top merchant, trend. Numbers are
     searched as substrings, so 1 is found in 12."""
     low = F.lower(text)
-    number = lambda c: text.contains(F.format_string("%.2f", c.cast("decimal(30,6)"))) | text.contains(F.format_string("%.0f", c.cast("decimal(30,6)")))
+    number = lambda c: text.contains(decimals(c)) | text.contains(whole(c))
     checks = F.array(
         number(f("total_spend")), text.contains(f("transaction_count").cast("string")), low.contains(F.lower(f("top_category"))),
         low.contains(F.lower(f("top_merchant"))), F.when(f("trend_direction").isNotNull(), low.contains(f("trend_direction"))),

@@ -21,7 +21,7 @@ def currency_sign(code: Column) -> Column:
 
 
 def whole(c: Column) -> Column:
-    return F.format_string("%.0f", c.cast("decimal(30,6)"))
+    return c.cast("decimal(30,6)").cast("decimal(30,0)").cast("string")
 
 
 def narrative(choice: Column) -> Column:

@@ -18,7 +18,7 @@ CATEGORY_TEXT = "Categorize the following transaction."
 
 def decimals(c: Column) -> Column:
     """Two decimals, half up."""
-    return F.format_string("%.2f", c.cast("decimal(30,6)"))
+    return c.cast("decimal(30,6)").cast("decimal(30,2)").cast("string")
 
 
 def serialized(columns: list[str], without: set[str] = frozenset()) -> Column:
