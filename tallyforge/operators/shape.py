@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.plans.schema import EXTRA
 
 CONTEXT = 10
+#: Labels that count as fraud, and the instructions of the tasks.
 FRAUD_LABELS = ["1", "1.0", "True", "true", "FRAUD"]
 FRAUD_TEXT = (
     "Given this customer's recent transaction history, determine whether the most recent transaction is fraudulent. "

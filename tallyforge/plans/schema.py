@@ -27,7 +27,7 @@ REQUIRED = [name for name, field in CANONICAL.items() if field.required]
 IMPORTANT_OPTIONAL = ["category", "label"]
 #: What a query over transactions sees.
 QUERY_COLUMNS = ["entity_id", "timestamp", "amount", "currency", "category", "channel", "counterparty", "status"]
-#: Identifiers that are pseudonymized, and the default salt.
+#: Identifiers that are pseudonymized, and the default salt (a fixed value: equal salts give equal pseudonyms).
 HASHED = ["entity_id", "counterparty"]
 SALT = "txn-pipeline-fixed-salt-v1"
 EXTRA = "extra__"
