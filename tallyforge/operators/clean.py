@@ -24,9 +24,9 @@ def unique_headers(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return numbered.select(*[F.col(f"_{i}").alias(c) for c, i in sorted(first.items(), key=lambda x: x[1])]), repeated
 
 
-def to_canonical(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = (), row_id: str = "_row_id") -> DataFrame:
+def to_canonical(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = (), row_id: str = "_row_id", normalize_ids: bool = False) -> DataFrame:
     """The canonical columns, the extras and the row id. Absent optional columns get their defaults; null cells of
-    present ones stay null."""
+    present ones stay null. ``normalize_ids``: ids that differ in case and outer spaces only become one."""
     doubled = [f for f, n in Counter(found.columns.values()).items() if n > 1]
     if doubled:
         raise ValueError(f"more than one column is mapped to {', '.join(doubled)}")
@@ -44,6 +44,8 @@ def to_canonical(df: DataFrame, found: Resolution, by: Conventions, extras: list
             value = timestamp(source[name], by.day_first)
         else:
             value = source[name]
+            if normalize_ids and spec.kind == "id":
+                value = F.upper(F.trim(value))
         columns.append(value.alias(name))
     carried = [F.col(f"`{c}`").cast("string").alias(EXTRA + c) for c in extras if c in df.columns]
     return df.select(*columns, *carried, F.col(row_id).alias("_row_id"))
@@ -97,8 +99,8 @@ def with_features(df: DataFrame) -> DataFrame:
     )
 
 
-def cleaned(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+def cleaned(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = (), normalize_ids: bool = False) -> tuple[DataFrame, DataFrame]:
     """(clean rows with features, their statistics)."""
-    mapped = to_canonical(df, found, by, extras)
+    mapped = to_canonical(df, found, by, extras, normalize_ids=normalize_ids)
     kept = keep_first(gate(mapped))
     return with_features(hash_ids(kept)), gate_stats(mapped, kept)

@@ -93,6 +93,21 @@ def latest_first(context: Column) -> Column:
     return F.array_join(F.concat(F.slice(context, -1, 1), F.slice(context, 1, F.size(context) - 1)), " ")
 
 
+def question_prompt(question: Column, entity: Column) -> Column:
+    """What a question-to-SQL model reads; without the entity it couldn't write the filter."""
+    return F.concat(F.lit("Question: "), question, F.lit(" Entity: "), entity, F.lit(" SQL:"))
+
+
+def summary_prompt(instruction: Column, f) -> Column:
+    """What a summary model reads: the instruction and the facts it may use."""
+    return F.concat(instruction, F.lit(" Facts: "), facts_string(f), F.lit(" Summary:"))
+
+
+def behaviour_text(sequence: Column) -> Column:
+    """A behaviour example as one text, for perplexity."""
+    return F.array_join(sequence, " ")
+
+
 def first_statement(sql: Column) -> Column:
     return F.trim(F.substring_index(sql, ";", 1))
 

@@ -39,6 +39,7 @@ class Outcome:
 def run_pipeline(
     spark: SparkSession, raw: DataFrame, source: str, tasks: list[str], overrides: dict[str, str] | None = None, train_frac: float = split.TRAIN, val_frac: float = split.VAL,
     extra_context_cols: list[str] = (), progress: Callable[[str, float], None] | None = None, spend: str = "auto",
+    normalize_ids: bool = False,
 ) -> Outcome:
     tell = progress or (lambda *_: None)
     log = Manifest(source)
@@ -66,7 +67,7 @@ def run_pipeline(
         log.warn(out.fatal_error)
         return out
     tell("cleaning", 0.30)
-    rows, stats = clean.cleaned(raw, found, by, list(extra_context_cols))
+    rows, stats = clean.cleaned(raw, found, by, list(extra_context_cols), normalize_ids)
     out.cleaning_stats = stats.first().asDict()
     log.data["cleaning"] = out.cleaning_stats | {"pii_fields_hashed": list(clean.HASHED)}
     if extra_context_cols:

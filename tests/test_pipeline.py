@@ -220,3 +220,16 @@ def test_stream(spark, tmp_path):
     got = {(r["entity_id"], r["month"]): r["total"] for r in spark.table("month_spend").collect()}
     want = {(r["entity_id"], r["month"]): r["total"] for r in facts.by_month(facts.spend(_rows(spark), facts.Convention(True))).collect()}
     assert got == want
+
+
+def test_ids_can_be_normalized(spark):
+    df = spark.createDataFrame([("c1", "2026-01-01", "1"), (" C1 ", "2026-01-02", "2")], "customer_id string, date string, amount string")
+    count = lambda **k: run_pipeline(spark, df, "s", [], **k).clean_df.select("entity_id").distinct().count()
+    assert (count(), count(normalize_ids=True)) == (2, 1)
+
+
+def test_prompts(spark):
+    row = spark.createDataFrame([("How much?", "e1", ["a", "b"])], "q string, e string, s array<string>").select(
+        evaluate.question_prompt(F.col("q"), F.col("e")), evaluate.behaviour_text(F.col("s")), evaluate.first_statement(F.lit("SELECT 1; DROP"))
+    ).first()
+    assert tuple(row) == ("Question: How much? Entity: e1 SQL:", "a b", "SELECT 1")
