@@ -4,8 +4,8 @@ A softmax regression over hashed words and word shapes is fitted to a sample of
 documents a domain (chosen by hash), and gives each document's posteriors p. Rates r >= 0 minimize the squared distance
 between the totals sum(r * tokens * p) and the targets, by projected gradient steps from r = 1. A step needs the totals
 only, one small vector that a distributed sum brings to the driver; the gradient of a document is its posteriors times
-that vector. The residual is weighted by the inverse of the documents' second moments, which makes one step exact where
-no rate is held at zero. So a rate is a function of a document's posteriors and the steps, and no join brings it back.
+that vector. The residual is weighted by the inverse second moments of the documents whose rates aren't zero, which makes
+a step exact unless it brings further rates to zero. So a rate is a function of a document's posteriors and the steps, and no join brings it back.
 
 The total is, unless given, the largest that the targets allow without repeating documents on the whole: the scarcest
 domain keeps its rate. Documents are repeated or left out by rate: floor(rate + u) copies, with u a seeded hash.
@@ -22,6 +22,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +33,10 @@ from tallyforge.llm.shared import table, written
 MAX_PER_DOMAIN = 4000
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 14, 1 << 9
 SEED = 3
-STEPS, TOLERANCE = 60, 1e-7
+STEPS, TOLERANCE = 40, 1e-6
 #: Domains of the registered query and of the pipeline's stage, by the table of labels, and their shares of tokens.
 TARGETS = {"high": 0.94, "low": 0.04, "toxic": 0.02}
-SHAPES = [(re.compile(r"[^\W\d_a-zà-öø-ÿ]+"), "A"), (re.compile(r"[^\W\d_A]+"), "a"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1")]
+RUNS = re.compile(r"(.)\1+")
 MEMBERSHIP = StructType([StructField("tokens", LongType()), StructField("p", ArrayType(DoubleType()))])
 
 
@@ -45,45 +46,53 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain"))
 
 
+class _Shape(dict):
+    """From a character's number to A, a, 0 or the character itself."""
+
+    def __missing__(self, code: int) -> str:
+        ch = chr(code)
+        self[code] = "0" if ch.isdigit() else ("A" if ch.isupper() else "a") if ch.isalpha() else ch
+        return self[code]
+
+
 class Features:
     """Buckets of words, remembered for words that come again."""
 
     def __init__(self):
-        self.seen: dict[str, tuple[int, int]] = {}
+        self.seen: dict[str, int] = {}
+        self.shape = _Shape()
 
-    def _places(self, word: str) -> tuple[int, int]:
+    def _places(self, word: str) -> int:
+        """The bucket of the word and, 16 bits up, that of its shape."""
         if len(self.seen) > 300_000:
             self.seen.clear()
-        shape = word
-        for pattern, to in SHAPES:
-            shape = pattern.sub(to, shape)
-        got = (xxhash.xxh32_intdigest(word.lower(), SEED) % WORD_BUCKETS, WORD_BUCKETS + xxhash.xxh32_intdigest(shape, SEED) % SHAPE_BUCKETS)
+        shape = RUNS.sub(r"\1", word.translate(self.shape))
+        got = xxhash.xxh32_intdigest(word.lower(), SEED) % WORD_BUCKETS | (WORD_BUCKETS + xxhash.xxh32_intdigest(shape, SEED) % SHAPE_BUCKETS) << 16
         self.seen[word] = got
         return got
 
     def __call__(self, text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of words; buckets and their weights, log(1 + count)."""
         words, get = (text or "").split(), self.seen.get
-        pairs = [get(w) or self._places(w) for w in words]
-        places, n = np.unique(np.array(pairs, np.int64).ravel(), return_counts=True)
-        return len(words), places, np.log1p(n)
+        pairs = np.fromiter((get(w) or self._places(w) for w in words), np.int64, len(words))
+        counts = np.bincount(pairs & 0xFFFF, minlength=WORD_BUCKETS + SHAPE_BUCKETS) + np.bincount(pairs >> 16, minlength=WORD_BUCKETS + SHAPE_BUCKETS)
+        places = np.flatnonzero(counts)
+        return len(words), places, np.log1p(counts[places])
 
 
-def _fit(rows: list[tuple[int, list[int], list[float]]], n_domains: int, rounds: int = 120) -> np.ndarray:
-    """Softmax weights (bucket, domain), the last row for the intercept, by Adagrad on whole passes."""
-    y = np.array([r[0] for r in rows])
-    at = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    places = np.fromiter((b for r in rows for b in r[1]), np.int64, len(at))
-    values = np.fromiter((v for r in rows for v in r[2]), np.float64, len(at))
+def _fit(y: np.ndarray, sizes: np.ndarray, places: np.ndarray, values: np.ndarray, n_domains: int, rounds: int = 120) -> np.ndarray:
+    """Softmax weights (bucket, domain), the last row for the intercept, by Adagrad on whole passes. Row i has domain
+    y[i] and the next sizes[i] of the buckets ``places`` with their ``values``."""
+    at = np.repeat(np.arange(len(y)), sizes)
     size = WORD_BUCKETS + SHAPE_BUCKETS
     w = np.zeros((size + 1, n_domains))
     past = np.full_like(w, 1e-8)
     hot = np.eye(n_domains)[y]
     for _ in range(rounds):
-        z = np.column_stack([np.bincount(at, values * w[places, k], len(rows)) for k in range(n_domains)]) + w[-1]
+        z = np.column_stack([np.bincount(at, values * w[places, k], len(y)) for k in range(n_domains)]) + w[-1]
         p = np.exp(z - z.max(axis=1, keepdims=True))
         gap = p / p.sum(axis=1, keepdims=True) - hot
-        grad = np.vstack([np.column_stack([np.bincount(places, values * gap[at, k], size) for k in range(n_domains)]), gap.sum(axis=0)]) / len(rows)
+        grad = np.vstack([np.column_stack([np.bincount(places, values * gap[at, k], size) for k in range(n_domains)]), gap.sum(axis=0)]) / len(y)
         grad[:-1] += 1e-5 * w[:-1]
         past += grad**2
         w -= 0.3 * grad / np.sqrt(past)
@@ -108,12 +117,14 @@ def train(docs: DataFrame, domains: DataFrame, names: list[str], doc_id: str = "
         make = Features()
         for batch in batches:
             found = [make(t.as_py()) for t in batch["text"]]
-            yield pa.RecordBatch.from_pydict({"y": batch["y"], "b": pa.array([x[1] for x in found], pa.list_(pa.int64())), "v": pa.array([x[2] for x in found], pa.list_(pa.float64()))})
+            yield pa.RecordBatch.from_pydict({"y": batch["y"], "b": pa.array([x[1] for x in found], pa.list_(pa.int32())), "v": pa.array([x[2] for x in found], pa.list_(pa.float32()))})
 
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(chosen, "id").select("y", "text")
-    sample = rows.mapInArrow(featured, "y int, b array<long>, v array<double>").toArrow().to_pylist()
-    fitted = [(r["y"], r["b"], r["v"]) for r in sample]
-    return names, _fit(fitted, len(names)) if fitted else np.zeros((WORD_BUCKETS + SHAPE_BUCKETS + 1, len(names)))
+    sample = rows.mapInArrow(featured, "y int, b array<int>, v array<float>").toArrow()  # MAX_PER_DOMAIN rows a domain
+    if not sample.num_rows:
+        return names, np.zeros((WORD_BUCKETS + SHAPE_BUCKETS + 1, len(names)))
+    sizes = pc.list_value_length(sample["b"]).to_numpy()
+    return names, _fit(sample["y"].to_numpy(), sizes, pc.list_flatten(sample["b"]).to_numpy(), pc.list_flatten(sample["v"]).to_numpy(), len(names))
 
 
 def membership(spark, weights: np.ndarray, text: Column) -> Column:
@@ -148,25 +159,27 @@ def fit_rates(members: DataFrame, targets: list[float], total: float | None = No
     share = np.array(targets, float) / sum(targets) if d else np.zeros(0)
     p, tokens = F.col("p"), F.col("tokens").cast("double")
 
-    def totals(steps: list[list[float]]) -> np.ndarray:
-        row = members.agg(*[F.coalesce(F.sum(tokens * p[i] * _rate(p, steps)), F.lit(0.0)).alias(f"s{i}") for i in range(d)]).first()
-        return np.array([row[i] for i in range(d)])
+    def measured(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Totals at the rates of the steps, and second moments of the documents whose rate isn't zero."""
+        held = members.select("tokens", "p", _rate(p, steps).alias("r"))
+        sums = [F.sum(tokens * p[i] * F.col("r")) for i in range(d)] + [F.sum(F.when(F.col("r") > 0, tokens * p[i] * p[j])) for i in range(d) for j in range(i + 1)]
+        row = [x or 0.0 for x in held.agg(*[x.alias(f"x{k}") for k, x in enumerate(sums)]).first()]
+        h = np.zeros((d, d))
+        h[np.tril_indices(d)] = row[d:]
+        return np.array(row[:d]), h + np.tril(h, -1).T
 
     steps: list[list[float]] = []
     if not d:
         return steps, [], []
-    moments = members.agg(*[F.coalesce(F.sum(tokens * p[i] * p[j]), F.lit(0.0)).alias(f"h{i}_{j}") for i in range(d) for j in range(d)]).first()
-    h = np.array(list(moments), float).reshape(d, d)
-    there = totals(steps)
+    there, h = measured(steps)
     if not there.sum():
         return steps, list(there), list(there)
     asked = share * (total or min(there[i] / share[i] for i in range(d) if share[i] > 0))
-    inverse = np.linalg.inv(h + np.eye(d) * 1e-9 * np.trace(h))
     for _ in range(STEPS):
         if np.abs(there - asked).sum() <= TOLERANCE * asked.sum():
             break
-        steps.append(list(inverse @ (there - asked)))
-        there = totals(steps)
+        steps.append(list(np.linalg.solve(h + np.eye(d) * 1e-9 * max(np.trace(h), 1e-300), there - asked)))
+        there, h = measured(steps)
     return steps, list(there), list(asked)
 
 
