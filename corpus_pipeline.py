@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, langid, mixing, sharding, simhash
+from tallyforge.llm import decontaminate, langid, minhash, mixing, sharding
 from tallyforge.llm.shared import fold, table, written
 
 #: A document whose predicted language holds less than this share of its trigrams is rejected.
 MIN_LANGUAGE_SCORE = 0.3
 
-#: Language ID, fingerprints, tiling and fitted rates are beyond SQL; tests hold the stages against plain versions.
+#: Language ID, shingle sets, tiling and fitted rates are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: one document of each component stays."""
-    return simhash.keep_one(docs)
+    """Near-dedup by five-word shingles: one document of each component of similar ones stays."""
+    return minhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,138 @@
+"""Near copies by the Jaccard similarity of their word shingles.
+
+Documents are linked if at least ``SIMILARITY`` of their distinct ``WIDTH``-word shingles are shared. Candidates come from
+MinHash: ``BANDS`` keys of ``ROWS`` minima each, so a pair of similarity 0.8 shares no key with a chance of 5e-6, one of 0.9
+of less than 1e-13. Each candidate's similarity is then computed from the whole sets. Only distinct sets take part, so exact
+copies cost one comparison however many there are.
+
+Only components are asked for, so documents that are in one component already aren't compared with each other. In ``STARS``
+rounds the documents of a key are compared with one of them, another in each round; after these all pairs of a key that
+are still in different components are compared, so a large group of near copies costs few comparisons and no candidate
+is left out.
+
+Defined cases: as in ``simhash``; a text of fewer than ``WIDTH`` words is one shingle, and blank texts are copies of each
+other.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from tallyforge.llm.components import components
+from tallyforge.llm.shared import written
+from tallyforge.llm.simhash import SEED, best_of
+
+WIDTH = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 40, 6
+STARS = 3
+STEP = 1024  # shingles whose minima are taken at once
+_RANDOM = np.random.default_rng(SEED)
+FLIPS = _RANDOM.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32)
+FACTORS = _RANDOM.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32) | np.uint32(1)
+MARK = StructType([StructField("fp", LongType()), StructField("bands", ArrayType(LongType()))])
+
+
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    parts = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width))))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in parts), np.uint64))
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    low = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(low), STEP):
+        np.minimum(least, ((low[at : at + STEP] ^ FLIPS) * FACTORS).min(axis=1), out=least)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for part in least.reshape(BANDS, ROWS).T.astype(np.uint64):
+        keys = (keys ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64)
+
+
+def _mark(width: int):
+    @F.arrow_udf(MARK)
+    def mark(texts: pa.Array) -> pa.Array:
+        fps, keys = [], []
+        for t in texts:
+            hashes = shingles(t.as_py(), width)
+            fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0)
+            keys.append(bands(hashes))
+        offsets = pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32())
+        flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
+        return pa.StructArray.from_arrays([pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, flat)], ["fp", "bands"])
+
+    return mark
+
+
+def _sets(width: int):
+    @F.arrow_udf(ArrayType(LongType()))
+    def sets(texts: pa.Array) -> pa.Array:
+        return pa.array([shingles(t.as_py(), width).view(np.int64) for t in texts], pa.list_(pa.int64()))
+
+    return sets
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of ``pairs`` (a, b) those whose sets are similar."""
+    side = lambda c: sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"h_{c}"))
+    both = F.size(F.array_intersect("h_a", "h_b"))
+    fits = F.least(F.size("h_a"), F.size("h_b")) >= similarity * F.greatest(F.size("h_a"), F.size("h_b"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").filter(fits)
+    return met.filter(both >= similarity * (F.size("h_a") + F.size("h_b") - both)).select("a", "b")
+
+
+def groups(marked: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``marked``: rows (fp, bands); ``texts``: one row (fp, text) for each fp. Rows (fp, root) of the sets that are
+    linked to others."""
+    keys = marked.dropDuplicates(["fp"]).select("fp", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    keys = written(keys.join(shared, "band"), "minhash-keys")
+    wanted = texts.join(keys.select("fp").distinct(), "fp").select("fp", _sets(width)(F.col("text")).alias("hashes"))
+    sets = written(wanted, "minhash-sets")
+    links, roots = None, keys.select(F.col("fp").alias("node"), F.col("fp").alias("root")).limit(0)
+    for k in range(STARS + 1):
+        rooted = keys.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k)))
+        mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
+        open_ = rooted.join(mixed.select("band", "hub"), "band")
+        if k < STARS:
+            pairs = open_.filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+        else:  # every pair has a side outside the key's largest component
+            open_ = written(open_.select("band", "fp", "root"), "minhash-open")
+            main = open_.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+            rest = open_.join(main, "band").filter("root != main").select("band", F.col("fp").alias("a"), F.col("root").alias("root_a"))
+            pairs = rest.join(open_.withColumnRenamed("fp", "b"), "band").filter("root_a != root").select("a", "b")
+        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-pairs")
+        if pairs.isEmpty():
+            break
+        found = _verified(pairs, sets, similarity)
+        links = written(found if links is None else links.union(found), "minhash-links")
+        roots = components(links, "minhash-stars")
+    return roots.select(F.col("node").alias("fp"), "root")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents without near copies; which one of a component stays is as in ``simhash.keep_one``."""
+    key = [F.coalesce(F.col(doc_id), F.lit(0)), F.col(doc_id).isNull(), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
+    names = ["k_null", "k_id", "k_text"]
+    columns = [c.alias(n) for c, n in zip(key, ("k_id", "k_null", "k_text"))]
+    marked = docs.select(*columns, _mark(width)(F.col(text).cast("string")).alias("m")).select(*names, "m.*")
+    marked = written(marked, "minhash")
+    first = written(marked.groupBy("fp").agg(F.min(F.struct(*names)).alias("best")), "minhash-first")
+    rows = docs.select(*columns, F.col(text).cast("string").alias("text"))
+    texts = rows.join(first.select("fp", "best.*"), names).groupBy("fp").agg(F.first("text").alias("text"))
+    roots = groups(marked.select("fp", "bands"), texts, width, similarity)
+    rooted = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(best_of("best")).select("best.*")
+    packed = docs.select(F.struct("*").alias("doc"), *columns)
+    return packed.join(kept, names, "left_semi").dropDuplicates(names).select("doc.*")
