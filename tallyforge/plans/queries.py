@@ -366,6 +366,16 @@ def list_txns_category(spark, d):
     return facts.listing(od(spark, d), category=True).filter((F.col("month") == F.lit("1996-03-01").cast("timestamp_ntz")) & F.col("category").startswith("1"))
 
 
+@query("list_txns_all", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od')
+def list_txns_all(spark, d):
+    return facts.listing(od(spark, d))
+
+
+@query("list_txns_category_all", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od')
+def list_txns_category_all(spark, d):
+    return facts.listing(od(spark, d), category=True)
+
+
 @query("majority_status", f"WITH {NAT} SELECT status FROM nat GROUP BY status ORDER BY count(*) DESC, status LIMIT 1")
 def majority_status(spark, d):
     return facts.majority(nat(spark, d), "status")
@@ -557,6 +567,12 @@ def oversample_minority(spark, d):
     return evaluate.oversample_minority(rows, "category", "error").select("_row_id", "copy")
 
 
+@query("oversample_minority_all", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN category = 'error' AND _row_id % 11 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM ev)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
+def oversample_minority_all(spark, d):
+    rows = ev(spark, d).select("_row_id", F.when((F.col("category") == "error") & (F.col("_row_id") % 11 == 0), "scarce").otherwise("other").alias("kind"))
+    return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
+
+
 @query("balance_kinds", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN _row_id % 9 = 0 THEN 'comparison' ELSE 'aggregation' END AS template_kind FROM ev)", "template_kind = 'comparison'", "CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT) - s"))
 def balance_kinds(spark, d):
     rows = ev(spark, d).select("_row_id", F.when(F.col("_row_id") % 9 == 0, "comparison").otherwise("aggregation").alias("template_kind"))
@@ -596,6 +612,11 @@ def perplexity(spark, d):
     return ev(spark, d).filter("amount < 200").select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
 
 
+@query("perplexity_all", f"WITH {EV} SELECT _row_id, CASE WHEN amount / 10 < 20 THEN round(exp(amount / 10), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM ev")
+def perplexity_all(spark, d):
+    return ev(spark, d).select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
+
+
 @query("union_sources", f"WITH {EV}, {OD} SELECT 'events' AS source, count(*) AS n, {MONEY.format('amount')} AS total FROM ev UNION ALL SELECT 'orders', count(*), {MONEY.format('amount')} FROM od")
 def union_sources(spark, d):
     both = ev(spark, d).withColumn("source", F.lit("events")).unionByName(od(spark, d).withColumn("source", F.lit("orders")))
