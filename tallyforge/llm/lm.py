@@ -3,8 +3,9 @@
 A text is coded as the bits of a Huffman code of its bytes, with an end symbol. Each bit is predicted from several
 hashed contexts (the last two, three, four and six bytes, the word so far); their predictors are bit counts of all training documents,
 held in tables of ``SLOTS`` slots. Predictions are mixed in the logistic domain with weights that a gate chooses, the
-confidence of the two longest contexts; these weights are learnt online on a sample of at most ``MIX_DOCS`` training
-documents that the tables leave out. In scoring, each text also has an offset of the weights of its own, refined after every
+confidence of the two longest contexts; these weights are learnt online on all training documents, those of each of
+``FOLDS`` folds with tables that leave their fold out, in each partition on its own and then averaged by the bits that a
+gate has met. The tables used in scoring hold all training documents. In scoring, each text also has an offset of the weights of its own, refined after every
 ``BLOCK`` bits. The sum of the bits' costs is the text's log probability; ``bits_per_byte`` is per byte of UTF-8.
 
 Beside it stands a unigram model with exact counts of all training tokens. Counts of frequent words (at most ``HEAD``)
@@ -36,7 +37,7 @@ BITS = 20
 SLOTS = 1 << BITS
 CHUNK = 1 << 15  # slots that move together
 HEAD = 200_000
-MIX_DOCS = 400
+FOLDS = 2
 BLOCK = 256
 RATE = 2.0
 PRIOR = 0.1
@@ -226,31 +227,48 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for place, n in zip(batch["place"].to_pylist(), batch["n"]):
-            part = np.frombuffer(n.as_py(), np.int32).astype(np.int64)
+            part = np.frombuffer(n.as_py(), np.uint8).reshape(4, -1).T.ravel().view("<i4").astype(np.int64)
             sums[place] = sums[place] + part if place in sums else part
     yield from sums.items()
 
 
 def _chunk(place: int, salt: int, counts: np.ndarray) -> pa.RecordBatch:
-    """Counts beyond 2^31 are halved with their slot's other count until they fit."""
+    """``place``: fold and chunk. Counts beyond 2^31 are halved with their slot's other count until they fit."""
     while counts.max(initial=0) >= 1 << 30:
         counts = np.where((counts.reshape(-1, 2).max(axis=1, keepdims=True) >= 1 << 30), counts.reshape(-1, 2) // 2, counts.reshape(-1, 2)).ravel()
-    arrays = pa.array([place], pa.int32()), pa.array([salt], pa.int32()), pa.array([counts.astype(np.int32).tobytes()], pa.binary())
+    planes = counts.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()  # the high bytes, mostly zero, compress well
+    arrays = pa.array([place], pa.int32()), pa.array([salt], pa.int32()), pa.array([planes], pa.binary())
     return pa.RecordBatch.from_arrays(list(arrays), ["place", "salt", "n"])
 
 
-def bit_tables(docs: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """From the bits of all rows of ``docs`` (a column text): for each context and slot the stretched probability of a
-    one, and for the two longest contexts the slot's part of the gate."""
+def _by_fold(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    texts, folds = _encoded(batch["text"]), batch["fold"].to_pylist()
+    for f in range(FOLDS):
+        yield f, [t for t, own in zip(texts, folds) if own == f]
+
+
+def _chunks_of(places: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, dict[int, np.ndarray]]]:
+    """For each chunk of the tables the counts of the folds that have any."""
+    n, found = N_CONTEXTS * SLOTS // CHUNK, {}
+    for place, counts in places:
+        found.setdefault(place % n, {})[place // n] = counts
+    yield from found.items()
+
+
+def bit_tables(docs: DataFrame, code: Code) -> list[tuple[np.ndarray, np.ndarray]]:
+    """From the bits of ``docs`` (columns text and fold): for each context and slot the stretched probability of a one, and
+    for the two longest contexts the slot's part of the gate. One pair of tables for each fold, of the rows in other folds,
+    and last that of all rows."""
     shared = docs.sparkSession.sparkContext.broadcast(code)
 
     def count(batches):
         from pyspark import TaskContext
 
-        counts = np.zeros((N_CONTEXTS, 2 * SLOTS), np.int32)
+        counts = np.zeros((FOLDS, N_CONTEXTS, 2 * SLOTS), np.int32)
         for batch in batches:
-            for _, symbols, coded, _ in _pieces(_encoded(batch["text"]), COUNT_PIECE):
-                _counted(shared.value, symbols, coded, counts)
+            for f, texts in _by_fold(batch):
+                for _, symbols, coded, _ in _pieces(texts, COUNT_PIECE):
+                    _counted(shared.value, symbols, coded, counts[f])
         for place, part in enumerate(counts.reshape(-1, 2 * CHUNK)):
             if part.any():
                 yield _chunk(place, TaskContext.get().partitionId() % 8, part)
@@ -260,21 +278,24 @@ def bit_tables(docs: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray]:
             yield _chunk(place, 0, counts)
 
     def finish(batches):
-        for place, counts in _added(batches):
-            zeros, ones = counts.reshape(-1, 2).T
-            stretched = np.rint(SCALE * np.clip(np.log((ones + PRIOR) / (zeros + PRIOR)), -LIMIT, LIMIT)).astype(np.int8)
-            gate = np.minimum(LEVELS - 1, np.log2(1 + zeros + ones) / 2).astype(np.int8)
-            kinds = pa.array([place], pa.int32()), pa.array([stretched.tobytes()], pa.binary()), pa.array([gate.tobytes()], pa.binary())
-            yield pa.RecordBatch.from_arrays(list(kinds), ["place", "stretched", "gate"])
+        for chunk, folds in _chunks_of(_added(batches)):
+            whole = sum(folds.values())
+            for f in range(FOLDS + 1):
+                zeros, ones = (whole - folds.get(f, 0)).reshape(-1, 2).T
+                stretched = np.rint(SCALE * np.clip(np.log((ones + PRIOR) / (zeros + PRIOR)), -LIMIT, LIMIT)).astype(np.int8)
+                gate = np.minimum(LEVELS - 1, np.log2(1 + zeros + ones) / 2).astype(np.int8)
+                kinds = pa.array([f * n + chunk], pa.int32()), pa.array([stretched.tobytes()], pa.binary()), pa.array([gate.tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays(list(kinds), ["place", "stretched", "gate"])
 
     n, chunk = N_CONTEXTS * SLOTS // CHUNK, "place int, salt int, n binary"
-    parts = docs.select("text").mapInArrow(count, chunk)
+    parts = docs.select("text", "fold").mapInArrow(count, chunk)
     some = parts.repartition(n, "place", "salt").mapInArrow(add, chunk)  # each salt has an eighth of the tasks
-    done = some.repartition(n, "place").mapInArrow(finish, "place int, stretched binary, gate binary").toArrow()  # 2 bytes a slot
-    tables, gates = np.zeros((n, CHUNK), np.int8), np.zeros((n, CHUNK), np.int8)
+    done = some.repartition(n, F.col("place") % n).mapInArrow(finish, "place int, stretched binary, gate binary").toArrow()  # 2 bytes a slot
+    tables, gates = np.zeros(((FOLDS + 1) * n, CHUNK), np.int8), np.zeros(((FOLDS + 1) * n, CHUNK), np.int8)
     for place, stretched, gate in zip(done["place"].to_pylist(), done["stretched"], done["gate"]):
         tables[place], gates[place] = np.frombuffer(stretched.as_py(), np.int8), np.frombuffer(gate.as_py(), np.int8)
-    return tables.reshape(N_CONTEXTS, SLOTS), gates.reshape(N_CONTEXTS, SLOTS)[-2:] * np.array([[LEVELS], [1]], np.int8)
+    levels = np.array([[LEVELS], [1]], np.int8)
+    return [(t, g[-2:] * levels) for t, g in zip(tables.reshape(-1, N_CONTEXTS, SLOTS), gates.reshape(-1, N_CONTEXTS, SLOTS))]
 
 
 class Mixer:
@@ -283,6 +304,7 @@ class Mixer:
     def __init__(self, code: Code, tables: np.ndarray, gates: np.ndarray):
         self.code, self.tables, self.gates = code, tables, gates
         self.weights = np.full((GATES, N_CONTEXTS), 0.35, np.float32)
+        self.met = np.zeros(GATES, np.int64)
 
     def inputs(self, bits: Bits) -> tuple[np.ndarray, np.ndarray]:
         """Stretched probabilities of the other bit than the one that is there, and gates; STRETCH bits at a time, whose
@@ -303,7 +325,7 @@ class Mixer:
         return x, gate
 
     def learn(self, texts: list[bytes], rate: float = 0.02, step: int = 1 << 12) -> None:
-        """One online pass over the texts."""
+        """One online pass over the texts. ``met``: the bits of each gate."""
         for _, symbols, coded, _ in _pieces(texts):
             bits = Bits(self.code, symbols, coded)
             x, gate = self.inputs(bits)
@@ -311,6 +333,7 @@ class Mixer:
                 xs, g = x[:, at : at + step], gate[at : at + step]
                 wrong = 1 / (1 + np.exp(-np.einsum("cn,nc->n", xs, self.weights[g])))
                 n = np.bincount(g, minlength=GATES)
+                self.met += n
                 for c in range(N_CONTEXTS):
                     self.weights[:, c] -= (rate * np.bincount(g, wrong * xs[c], GATES) / np.maximum(1, np.sqrt(n * 16.0))).astype(np.float32)
 
@@ -358,6 +381,28 @@ class Model:
         return out
 
 
+def learnt_weights(docs: DataFrame, code: Code, others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weights from all rows of ``docs`` (columns text and fold), each fold with its tables of ``others``: learnt online in
+    each partition, and averaged by gate."""
+    start = docs.sparkSession.sparkContext.broadcast((code, others))
+
+    def learn(batches):
+        mixers = [Mixer(start.value[0], *tables) for tables in start.value[1]]
+        for batch in batches:
+            for f, texts in _by_fold(batch):
+                mixers[f].learn(texts)
+        for m in mixers:
+            w = m.weights.astype(np.float64) * m.met[:, None]
+            kinds = np.repeat(np.arange(GATES), N_CONTEXTS), np.tile(np.arange(N_CONTEXTS), GATES), w.ravel(), np.repeat(m.met, N_CONTEXTS)
+            yield pa.RecordBatch.from_arrays([pa.array(k, t) for k, t in zip(kinds, (pa.int32(), pa.int32(), pa.float64(), pa.int64()))], ["gate", "context", "w", "met"])
+
+    sums = docs.select("text", "fold").mapInArrow(learn, "gate int, context int, w double, met long").groupBy("gate", "context").agg(F.sum("w").alias("w"), F.sum("met").alias("met"))
+    weights = np.full((GATES, N_CONTEXTS), 0.35, np.float32)
+    for r in sums.filter("met > 0").collect():  # a row for each gate and context
+        weights[r["gate"], r["context"]] = r["w"] / r["met"]
+    return weights
+
+
 def _scored(model, text: Column) -> Column:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -403,19 +448,10 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     bottom = log10(tokens + distinct + 1)
 
     code = Code(np.array([bytes_.get(i, 0) for i in range(256)] + [n_docs]))
-    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int((1 << 20) * min(0.5, MIX_DOCS / max(1, n_docs)))
-    mixer = Mixer(code, *bit_tables(training.filter(~mark), code))
-    start = spark.sparkContext.broadcast(mixer)
-
-    def learn(batches):
-        own = start.value
-        for batch in batches:
-            own.learn(_encoded(batch["text"]))
-        yield pa.RecordBatch.from_pydict({"w": pa.array([own.weights.astype(np.float32).tobytes()], pa.binary())})
-
-    learnt = training.filter(mark).select("text").coalesce(1).mapInArrow(learn, "w binary").first()  # MIX_DOCS texts
-    if learnt:
-        mixer.weights = np.frombuffer(learnt["w"], np.float32).reshape(GATES, N_CONTEXTS).copy()
+    folded = training.select("text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))  # copies share a fold
+    *others, whole = bit_tables(folded, code)
+    mixer = Mixer(code, *whole)
+    mixer.weights = learnt_weights(folded, code, others)
     head, least = _head(words)
     model = spark.sparkContext.broadcast(Model(mixer, head))
 

@@ -4,10 +4,12 @@ import os
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyforge.llm import minhash
+from tallyforge.llm import lm, minhash
 from tallyforge.llm.shared import table
 
 DATA = "/root/testdata/sf0.01"
@@ -67,3 +69,26 @@ def test_dedup_stage_against_all_pairs(spark):
     docs = table(spark, DATA, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
     assert {r["doc_id"] for r in corpus_pipeline.dedup(spark, docs, DATA).collect()} == plain_kept(texts)
+
+
+def test_lm_learns_from_all_training_documents(spark, monkeypatch):
+    """Tables hold every training document, and the weights come from every one."""
+    docs = [(i, f"{'abcdefgh'[i % 8]} text number {i} of them") for i in range(60)]
+    made, learnt = [], []
+    tables, weights = lm.bit_tables, lm.learnt_weights
+    monkeypatch.setattr(lm, "bit_tables", lambda d, c: made.append((d.count(), tables(d, c))) or made[-1][1])
+    monkeypatch.setattr(lm, "learnt_weights", lambda d, c, o: learnt.append((d.count(), weights(d, c, o))) or learnt[-1][1])
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    lm.scores(frame, F.col("doc_id") % 6 == 0).collect()
+    assert made[0][0] == learnt[0][0] == 50
+    # A piece counts as its texts did when each was alone in one fold.
+    code = lm.Code(np.ones(257))
+    rows = spark.createDataFrame([(t, i % 2) for i, t in docs], "text string, fold int")
+    got = tables(rows, code)
+    alone = [tables(rows.filter(f"fold = {f}").withColumn("fold", F.lit(0)), code)[-1] for f in (1, 0)]
+    assert all((a == b).all() for k in (0, 1) for a, b in zip(got[k], alone[k]))
+    counts = np.zeros((lm.N_CONTEXTS, 2 * lm.SLOTS), np.int32)
+    for _, symbols, coded, _ in lm._pieces([t.encode() for _, t in docs]):
+        lm._counted(code, symbols, coded, counts)
+    zeros, ones = counts.reshape(lm.N_CONTEXTS, -1, 2).transpose(2, 0, 1)
+    assert ((got[2][0] > 0) == (ones > zeros)).all()
