@@ -92,3 +92,19 @@ def test_lm_learns_from_all_training_documents(spark, monkeypatch):
         lm._counted(code, symbols, coded, counts)
     zeros, ones = counts.reshape(lm.N_CONTEXTS, -1, 2).transpose(2, 0, 1)
     assert ((got[2][0] > 0) == (ones > zeros)).all()
+
+
+def test_lm_weights_are_learnt_in_every_partition(spark):
+    """The weights of two partitions are the average, by bits, of what each learns alone: no single task reads all."""
+    rng = np.random.default_rng(12)
+    code = lm.Code(np.ones(257))
+    tables = [(rng.integers(-60, 60, (lm.N_CONTEXTS, lm.SLOTS)).astype(np.int8), rng.integers(0, 8, (2, lm.SLOTS)).astype(np.int8)) for _ in range(lm.FOLDS)]
+    parts = [[("first text of all", 0)], [("and one of another part", 0), ("third", 0)]]
+    rdd = spark.sparkContext.parallelize(parts, 2).flatMap(lambda x: x)
+    got = lm.learnt_weights(spark.createDataFrame(rdd, "text string, fold int"), code, tables)
+    sums, met = 0, 0
+    for part in parts:
+        own = lm.Mixer(code, *tables[0])
+        own.learn([t.encode() for t, _ in part])
+        sums, met = sums + own.weights * own.met[:, None], met + own.met[:, None]
+    assert np.allclose(got, np.where(met > 0, sums / np.maximum(1, met), 0.35), atol=1e-6)
