@@ -3,8 +3,8 @@
 Training counts the trigrams of each language over a sample of at most ``MAX_PER_LANGUAGE`` labelled documents a
 language (chosen by hash; with fewer documents all are used). A language contains a trigram that it uses at least
 ``MIN_RATE`` times a trigram and at least ``MIN_SHARE`` as often as the language that uses it most. One array of
-``SLOTS`` words holds the filters of all languages: bit l of each of a trigram's ``HASHES`` slots is set if language l
-contains it, so one lookup returns the languages of a trigram as a bitmask.
+``SLOTS`` words holds the filters of ``WORD_LANGUAGES`` languages: bit l of each of a trigram's ``HASHES`` slots is set if
+language l contains it, so one lookup returns the languages of a trigram as a bitmask. More languages have more arrays.
 
 A text's count for a language is the number of its trigrams with the language's bit; of it, what the language's filter
 would return by chance is taken off. The language with the largest corrected count is predicted, and the score is its
@@ -35,7 +35,7 @@ MIN_RATE = 2e-6
 MIN_SHARE = 0.1
 SLOTS = 1 << 20
 HASHES = 2
-MAX_LANGUAGES = 63  # bits of a slot's word
+WORD_LANGUAGES = 63  # bits of a slot's word
 UNKNOWN = "und"
 RESULT = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
@@ -74,22 +74,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Slots, language names in order of training documents, and each filter's rate of false positives."""
+    """Slots (an array, or one for each WORD_LANGUAGES languages), language names in order of training documents, and each
+    filter's rate of false positives."""
 
     def __init__(self, names: list[str], slots: np.ndarray):
-        self.names, self.slots = names, slots
-        fill = [float(np.mean((slots >> np.uint64(i)) & np.uint64(1))) for i in range(len(names))]
+        self.names, self.slots = names, np.atleast_2d(slots)
+        fill = [float(np.mean((self.slots[i // WORD_LANGUAGES] >> np.uint64(i % WORD_LANGUAGES)) & np.uint64(1))) for i in range(len(names))]
         self.chance = np.array([f**HASHES for f in fill])
 
     def predict(self, text: str | None) -> tuple[str, float]:
         grams = trigrams(text)
         if not len(grams) or not self.names:
             return UNKNOWN, 0.0
-        size = np.uint64(len(self.slots) - 1)
-        masks = self.slots[grams & size]
-        for k in range(1, HASHES):
-            masks &= self.slots[(grams >> np.uint64(24 * k)) & size]
-        counts = np.array([np.count_nonzero(masks & np.uint64(1 << i)) for i in range(len(self.names))])
+        size, counts = np.uint64(self.slots.shape[1] - 1), []
+        places = [(grams >> np.uint64(24 * k)) & size for k in range(HASHES)]
+        for slots in self.slots:
+            masks = slots[places[0]]
+            for place in places[1:]:
+                masks &= slots[place]
+            here = min(WORD_LANGUAGES, len(self.names) - len(counts))
+            counts += [np.count_nonzero(masks & np.uint64(1 << i)) for i in range(here)]
+        counts = np.array(counts)
         right = np.maximum(0, (counts - len(grams) * self.chance) / np.maximum(1e-9, 1 - self.chance))
         best = int(right.argmax())
         return self.names[best], float(right[best]) / len(grams)
@@ -100,8 +105,6 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", doc_id: s
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     known = sorted(rows.groupBy("lang").count().collect(), key=lambda r: (-r["count"], r["lang"]))  # one row a language
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"{len(known)} languages; a slot has bits for {MAX_LANGUAGES}")
     if not known:
         return Model([], np.zeros(1, np.uint64))
     spark = labelled.sparkSession
@@ -111,21 +114,20 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", doc_id: s
     picked = rows.join(shares, "lang").filter(even < F.col("part")).select("number", "text")
     counts = picked.mapInArrow(_counted, "number int, gram long, n long").groupBy("number", "gram").agg(F.sum("n").alias("n"))
     slots = _slots(counts).toArrow()
-    filled = np.zeros(SLOTS, np.uint64)
-    filled[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
+    filled = np.zeros((-(-len(known) // WORD_LANGUAGES), SLOTS), np.uint64)
+    filled[slots["word"].to_numpy(), slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
     return Model([r["lang"] for r in known], filled)
 
 
 def _slots(counts: DataFrame) -> DataFrame:
-    """(slot, mask): at most SLOTS rows, whatever the number of trigrams."""
+    """(word, slot, mask): at most SLOTS rows for each WORD_LANGUAGES languages, whatever the number of trigrams."""
     totals = counts.groupBy("number").agg(F.sum("n").alias("total"))
-    rated = counts.join(F.broadcast(totals), "number").selectExpr("gram", "n / total AS rate", "shiftleft(1L, number) AS bit")  # one row a language
-    peak = rated.groupBy("gram").agg(F.max("rate").alias("peak"), F.collect_list(F.struct("bit", "rate")).alias("by"))
+    rated = counts.join(F.broadcast(totals), "number").selectExpr("gram", "n / total AS rate", f"number div {WORD_LANGUAGES} AS word", f"shiftleft(1L, number % {WORD_LANGUAGES}) AS bit")  # one row a language
+    peak = rated.groupBy("gram").agg(F.max("rate").alias("peak"), F.collect_list(F.struct("word", "bit", "rate")).alias("by"))
     within = F.filter("by", lambda x: (x["rate"] >= MIN_RATE) & (x["rate"] >= MIN_SHARE * F.col("peak")))
-    mask = F.aggregate(within, F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(x["bit"]))
     places = F.array(*[F.shiftrightunsigned("gram", 24 * k).bitwiseAND(F.lit(SLOTS - 1)) for k in range(HASHES)])
-    masks = peak.select("gram", mask.alias("mask")).filter("mask != 0")
-    return masks.select(F.explode(places).alias("slot"), "mask").groupBy("slot").agg(F.expr("bit_or(mask)").alias("mask"))
+    held = peak.select("gram", F.explode(within).alias("x")).groupBy("gram", "x.word").agg(F.expr("bit_or(x.bit)").alias("mask"))
+    return held.select("word", F.explode(places).alias("slot"), "mask").groupBy("word", "slot").agg(F.expr("bit_or(mask)").alias("mask"))
 
 
 def predicted(spark: SparkSession, model: Model, text: Column) -> Column:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyforge.llm import lm, minhash
+from tallyforge.llm import langid, lm, minhash
 from tallyforge.llm.shared import table
 
 DATA = "/root/testdata/sf0.01"
@@ -108,3 +108,14 @@ def test_lm_weights_are_learnt_in_every_partition(spark):
         own.learn([t.encode() for t, _ in part])
         sums, met = sums + own.weights * own.met[:, None], met + own.met[:, None]
     assert np.allclose(got, np.where(met > 0, sums / np.maximum(1, met), 0.35), atol=1e-6)
+
+
+def test_any_number_of_languages(spark):
+    """130 languages, each with letters of its own."""
+    r = random.Random(13)
+    make = lambda i: " ".join("".join(chr(0x4E00 + 20 * i + r.randrange(20)) for _ in range(5)) for _ in range(60))
+    rows = [(3 * i + k, f"l{i:03}", make(i)) for i in range(130) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.train(docs)
+    found = docs.select("lang", langid.predicted(spark, model, F.col("text")).alias("p")).collect()
+    assert len(model.names) == 130 and all(x["p"]["lang_pred"] == x["lang"] for x in found)
