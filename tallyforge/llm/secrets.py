@@ -1,8 +1,9 @@
 """Secret scans: rules with fixed patterns, and character Markov models that tell random strings from identifiers.
 
 Everything is built-in functions within a document's row. Positions come from the lengths of what lies between matches.
-The models are bigram counts over ``SYMBOLS``: of the rules' own finds (random strings) and of other long tokens
-(ordinary identifiers), labelled by the rules in a sample of at most ``MAX_DOCS`` documents, chosen by hash. A token of
+The models are bigram counts over ``SYMBOLS``: of the values that the rules find (random strings) and of other long
+tokens that read as words (ordinary identifiers), labelled so in a sample of at most ``MAX_DOCS`` documents, chosen by
+hash. Tokens that neither label fits, among them secrets that no rule finds, teach neither model. A token of
 ``MIN_TOKEN`` or more characters whose log-likelihood ratio is ``MIN_RATIO`` or more is a span of kind ``markov``,
 unless it overlaps a rule's span.
 
@@ -31,6 +32,10 @@ MIN_TOKEN = 16
 MIN_RATIO = 12.0
 MAX_DOCS = 10_000
 TRAINING_TOKEN = 8
+#: An ordinary identifier: words of one case or capitalized, or short numbers, joined by signs or humps.
+PIECE = "(?:[A-Z]?[a-z]{2,15}|[A-Z]{2,15}|[0-9]{1,4})"
+ORDINARY = f"^[+/_.=-]*{PIECE}(?:(?:[+/_.=-]+|(?<=[a-z])(?=[A-Z]|[0-9]+(?![A-Za-z0-9]))){PIECE})*[+/_.=-]*$"
+BLOCK = 64  # matches whose places are summed up together
 UNIFORM_WEIGHT = 40.0  # pseudo-counts of a uniform next character among random strings
 SMOOTHING = 0.05
 
@@ -49,14 +54,21 @@ def _located(text: DataFrame, name: str, pattern: str, group: int = 0) -> DataFr
         F.when(F.size("_m") > 0, value).alias("_v"),
         F.when(F.size("_m") > 0, F.transform(F.split("t", pattern, -1), F.char_length)).alias("_gap"),
     )
-    spans = F.expr(f"""
-        aggregate(sequence(1, size(_m)),
+    # Within a block each place is the last one plus a gap; blocks start where the one before ended. An array that grows
+    # is copied at each step, so one over all matches would cost their square.
+    block = f"""aggregate(sequence(b * {BLOCK} + 1, least(size(_m), (b + 1) * {BLOCK})),
           named_struct('at', 0, 'out', cast(array() AS array<struct<start: int, kind: int, end: int, value: string>>)),
           (a, i) -> named_struct(
             'at', a.at + _gap[i - 1] + char_length(_m[i - 1]),
             'out', concat(a.out, array(named_struct(
-              'start', a.at + _gap[i - 1], 'kind', {kind}, 'end', a.at + _gap[i - 1] + char_length(_m[i - 1]), 'value', _v[i - 1])))),
-          a -> a.out)""")
+              'start', a.at + _gap[i - 1], 'kind', {kind}, 'end', a.at + _gap[i - 1] + char_length(_m[i - 1]), 'value', _v[i - 1])))))"""
+    spans = F.expr(f"""
+        flatten(aggregate(transform(sequence(0, (size(_m) - 1) div {BLOCK}), b -> {block}),
+          named_struct('at', 0, 'out', cast(array() AS array<array<struct<start: int, kind: int, end: int, value: string>>>)),
+          (a, x) -> named_struct(
+            'at', a.at + x.at,
+            'out', concat(a.out, array(transform(x.out, s -> named_struct('start', s.start + a.at, 'kind', s.kind, 'end', s.end + a.at, 'value', s.value))))),
+          a -> a.out))""")
     nothing = F.expr("cast(array() AS array<struct<start: int, kind: int, end: int, value: string>>)")
     return parted.select(*text.columns, F.when(F.size("_m") > 0, spans).otherwise(nothing).alias(name))
 
@@ -85,7 +97,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int
     values = lambda spans: F.transform(spans, lambda s: s["value"])
     labelled = sample.select(F.explode(F.array(
         F.struct(F.lit(1).alias("random"), values(F.concat(*[r[0] for r in RULES])).alias("texts")),
-        F.struct(F.lit(0).alias("random"), values(_free("markov")).alias("texts")),
+        F.struct(F.lit(0).alias("random"), F.filter(values(_free("markov")), lambda t: t.rlike(ORDINARY)).alias("texts")),
     )).alias("x")).select("x.random", F.explode("x.texts").alias("text"))
     pairs = F.expr("transform(sequence(1, char_length(text) - 1), i -> substr(text, i, 2))")
     counts = labelled.filter("char_length(text) > 1").select("random", F.explode(pairs).alias("pair")).groupBy("random", "pair").count()
