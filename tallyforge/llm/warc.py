@@ -76,13 +76,15 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
 
 
 def _rename(spark: SparkSession, path: str) -> None:
-    """Give part files the archives' usual ending."""
+    """Give part files the archives' usual ending; the rest of their names stays, so no two get the same."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     for status in files.listStatus(target):
         name = status.getPath().getName()
         if name.startswith("part-"):
-            files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(target, name[:10] + ".warc.gz"))
+            to = spark._jvm.org.apache.hadoop.fs.Path(target, name.removesuffix(".txt") + ".warc.gz")
+            if files.exists(to) or not files.rename(status.getPath(), to):
+                raise OSError(f"{status.getPath()} can't be renamed to {to}")
 
 
 class _Range:
@@ -91,7 +93,7 @@ class _Range:
     def __init__(self, file, start: int, end: int, size: int):
         self.file, self.at, self.size = file, start, size
         self.file.seek(start)
-        self.data = self.file.read(min(end + len(MAGIC) - 1, size) - start)
+        self.data = bytearray(self.file.read(min(end + len(MAGIC) - 1, size) - start))  # grows in place
 
     def more(self) -> bool:
         got = self.file.read(1 << 16) if self.at + len(self.data) < self.size else b""
@@ -103,7 +105,7 @@ def _record(span: _Range, offset: int) -> tuple[bytes, int] | None:
     """The inflated member that starts at ``offset`` in the range and where it ends; None if it is no WARC record."""
     inflate = zlib.decompressobj(31)
     try:
-        out = inflate.decompress(memoryview(span.data)[offset : offset + 512])
+        out = inflate.decompress(span.data[offset : offset + 512])
         fed = min(len(span.data), offset + 512)
         while not inflate.eof and len(out) < 7:
             if fed == len(span.data) and not span.more():

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from tallyforge.llm import secrets
+from tallyforge.llm import secrets, warc
 
 DATA = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
@@ -57,3 +57,26 @@ def test_secrets_of_odd_rows(spark, tmp_path):
     assert len(got) == len(rows)
     for x in got:
         assert (x["n_assign"], x["n_hex"], x["base_sha256"]) == want[x["doc_id"]] and x["n_access"] == 0
+
+
+def test_archives_of_several_files_a_task(spark):
+    """Several files a task keep names of their own, and every record is read back."""
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>" * 30) for i in range(250)], "page_id long, url string, html string").repartition(2)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "20")
+    try:
+        folder = warc.write_warc(pages)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    got = warc.read_warc(spark, folder).select("page_id", "file").collect()
+    assert sorted(x["page_id"] for x in got) == list(range(250)) and len({x["file"] for x in got}) >= 12
+
+
+def test_member_of_16_mib(spark):
+    """A member whose size field's last byte isn't zero, and one that spans many ranges."""
+    r = random.Random(22)
+    noise = r.randbytes(13 << 20).hex()
+    pages = spark.createDataFrame([(1, "a", noise), (2, "b", "short"), (3, "c", noise)], "page_id long, url string, html string").coalesce(1)
+    folder = warc.write_warc(pages)
+    got = {x["page_id"]: x for x in warc.read_warc(spark, folder, 1 << 20).select("page_id", "payload_bytes", "payload_digest", "record_type").collect()}
+    assert {k: (v["payload_bytes"], v["record_type"]) for k, v in got.items()} == {1: (len(noise), "response"), 2: (5, "response"), 3: (len(noise), "revisit")}
+    assert got[1]["payload_digest"] == got[3]["payload_digest"] == hashlib.sha256(noise.encode()).hexdigest()
