@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, langid, minhash, mixing, sharding
+from tallyforge.llm import decontaminate, langid, mixing, sharding, simhash
 from tallyforge.llm.shared import fold, table, written
 
 #: A document whose predicted language holds less than this share of its trigrams is rejected.
@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup by five-word shingles: one document of each component of similar ones stays."""
-    return minhash.keep_one(docs)
+    """Near-dedup by fingerprints of five-word shingles, verified at a similarity of 0.8: one document of each group stays."""
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

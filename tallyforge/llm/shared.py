@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+
+#: Bits of a bitmap, a prime.
+PLACES = 67_108_859
 
 #: A word: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or where that is unset (as in
-    local tests) a temporary folder, which is then also set as the session's checkpoint folder."""
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or the folder set by
+    ``setCheckpointDir``. A folder of one machine would not do, so there must be one of the two."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = known.get() if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         if not known.isDefined():
-            spark.sparkContext.setCheckpointDir(folder)
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = known.get()
     return folder.rstrip("/")
 
 
@@ -36,6 +41,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bitmap(df: DataFrame, column: str):
+    """A broadcast bitmap of PLACES bits (8 MB) in which each value (a long) of ``column`` has its bit set. However many
+    values there are, it only spares work: what it lets through must still be looked up exactly."""
+    placed = df.select(F.pmod(F.col(column), F.lit(PLACES)).alias("place")).selectExpr("place div 64 AS word", "shiftleft(1L, cast(place % 64 AS int)) AS bit")
+    held = placed.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()  # a row for each of PLACES / 64 words at most
+    words = np.zeros(PLACES // 64 + 1, np.uint64)
+    words[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    return df.sparkSession.sparkContext.broadcast(words)
+
+
+def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    place = values % PLACES
+    return (words[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def maybe_in(shared, value: Column) -> Column:
+    """Whether a value's bit is set in a bitmap that ``bitmap`` made."""
+
+    @F.arrow_udf(BooleanType())
+    def found(values: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(shared.value, values.to_numpy(zero_copy_only=False)))
+
+    return found(value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

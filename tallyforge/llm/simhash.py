@@ -9,6 +9,21 @@ verified. Only distinct fingerprints take part, so exact copies cost one compari
 Where a half is shared by more than ``HOT_BUCKET`` fingerprints, those that ask for it look up their whole Hamming
 ball of radius two (2,081 exact keys) instead, so no bucket is ever paired up with itself and no link is lost.
 
+Links by similarity (``keep_one``): documents are linked if they share at least ``SIMILARITY`` of their distinct
+``WIDTH``-word shingles (Jaccard). Each shingle's hash gives a signed byte for each bit of a long fingerprint, which is set
+if their sum is positive; of SEGMENTS x SEGMENT_BITS bits such documents' fingerprints differ in up to 15 %. That is far
+for a segment, so there are many and short ones, and the ball around a segment is spanned by its ``SOFT`` least certain
+bits, those whose sums are nearest to zero: a segment enters the tables under each of its 16 values, and two segments meet
+if they differ in such bits of either only. What meets is verified by the complete distance, then by the shingles
+themselves. A pair of similarity 0.8 is met with a chance of 0.99, one of 0.85 of 0.999, whatever the number of documents.
+SEGMENT_BITS suits up to 30 million different texts or so (unrelated ones then rarely meet); for each doubling beyond, a
+bit more in a segment and a tenth more segments keep both.
+
+Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
+last text of each table entry are compared; of entries with more, all texts with one of four of them, chosen by hash, in
+``STARS`` rounds, and after these all pairs of an entry that are still in different groups. So a large group of near
+copies costs few comparisons, and no meeting is left out.
+
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
 share a fingerprint and so a component; null ids belong to components but don't name them, unless all ids of a
 component are null, whose id is then null; an empty table gives an empty result. Of the input only the named columns
@@ -24,14 +39,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tallyforge.llm.components import components
-from tallyforge.llm.shared import table, written
+from tallyforge.llm.shared import bitmap, in_bitmap, maybe_in, table, written
 
 SHINGLE = 3
 SEED = 42
 HOT_BUCKET = 256
+WIDTH = 5
+SIMILARITY = 0.8
+SEGMENTS, SEGMENT_BITS, SOFT = 16, 28, 4
+STARS = 2
+SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SEGMENTS * SEGMENT_BITS // 8, np.int64).astype(np.uint64)
+SKETCH = StructType([StructField("fp", LongType()), StructField("segs", ArrayType(LongType()))])
+NAMES = ["k_null", "k_id", "k_text"]
 #: All words with one or two of 64 bits set.
 BALL = [0] + [1 << i for i in range(64)] + [(1 << i) | (1 << j) for i, j in combinations(range(64), 2)]
 
@@ -110,23 +132,173 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return found.select("doc_id", _unsigned_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component the row with the smallest id stays (null ids last;
-    among rows of that id the one with the smallest text hash, once if it is repeated). All columns are kept."""
-    key = [F.coalesce(F.col(doc_id), F.lit(0)), F.col(doc_id).isNull(), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
-    columns = [c.alias(n) for c, n in zip(key, ("k_id", "k_null", "k_text"))]
-    marked = written(docs.select(F.col(doc_id).alias("doc_id"), *columns, fingerprint_column(F.col(text)).alias("fp")), "simhash")
-    best = F.min(F.struct("k_null", "k_id", "k_text")).alias("best")
-    first = marked.groupBy("fp").agg(best)
-    groups = fingerprint_groups(marked).select("fp", "root")
-    kept = first.join(groups, "fp").groupBy("root").agg(best_of("best")).select("best.*")
-    packed = docs.select(F.struct("*").alias("doc"), *columns)
-    once = packed.join(kept, ["k_null", "k_id", "k_text"], "left_semi").dropDuplicates(["k_null", "k_id", "k_text"])
-    return once.select("doc.*")
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; those of a text with fewer words are one, a blank text has none."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    parts = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width))))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in parts), np.uint64))
+
+
+def segments(hashes: np.ndarray) -> np.ndarray:
+    """The long fingerprint of a set of hashes: for each segment its bits, above them its number, and from bit 32 on the
+    places of its least certain bits."""
+    even, sums = np.uint64(0x00FF00FF00FF00FF), np.zeros((2, 4 * len(SALTS)), np.int64)
+    for at in range(0, len(hashes), 256):
+        mixed = (hashes[at : at + 256, None] ^ SALTS) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        for k in range(2):  # four bytes at a time, 256 of which fit in 16 bits
+            sums[k] += (mixed >> np.uint64(8 * k) & even).sum(axis=0).view(np.uint16)
+    votes = (2 * sums - 255 * len(hashes)).reshape(SEGMENTS, SEGMENT_BITS)
+    soft = np.argsort(np.abs(votes), axis=1, kind="stable")[:, :SOFT] << 5 * np.arange(SOFT)
+    return (votes > 0) @ (1 << np.arange(SEGMENT_BITS)) + (np.arange(SEGMENTS) << SEGMENT_BITS) + (soft.sum(axis=1) << 32)
+
+
+def _sketched(width: int):
+    @F.arrow_udf(SKETCH)
+    def sketched(texts: pa.Array) -> pa.Array:
+        fps, found = [], []
+        for t in texts:
+            hashes = shingles(t.as_py(), width)
+            fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0)
+            found.append(segments(hashes))
+        offsets = pa.array(np.arange(len(fps) + 1) * SEGMENTS, pa.int32())
+        flat = pa.array(np.concatenate(found) if found else np.empty(0, np.int64))
+        return pa.StructArray.from_arrays([pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, flat)], ["fp", "segs"])
+
+    return sketched
+
+
+def _sets(width: int):
+    @F.arrow_udf(ArrayType(LongType()))
+    def sets(texts: pa.Array) -> pa.Array:
+        return pa.array([shingles(t.as_py(), width).view(np.int64) for t in texts], pa.list_(pa.int64()))
+
+    return sets
+
+
+def _entries(sketches: DataFrame) -> DataFrame:
+    """(key, fp): the entries of each text's segments."""
+    each = sketches.select("fp", F.explode("segs").alias("seg")).select("fp", "seg", F.explode(F.array(*[F.lit(j).cast("long") for j in range(1 << SOFT)])).alias("j"))
+    flips = " ^ ".join(f"shiftleft(shiftright(j, {i}) & 1, cast(shiftright(seg, {32 + 5 * i}) & 31 AS int))" for i in range(SOFT))
+    return each.selectExpr(f"(seg & {0xFFFFFFFF}) ^ {flips} AS key", "fp")
+
+
+def _entries_in(shared):
+    """The keys of a text's entries that a bitmap lets through."""
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def entries(segs: pa.Array) -> pa.Array:
+        j, out = np.arange(1 << SOFT), []
+        for at in range(0, len(segs), 500):
+            own = segs.slice(at, 500).flatten().to_numpy(zero_copy_only=False).reshape(-1, SEGMENTS, 1)
+            keys = own & 0xFFFFFFFF
+            for i in range(SOFT):
+                keys = keys ^ (j >> i & 1) << (own >> 32 + 5 * i & 31)
+            keys = keys.reshape(len(own), -1)
+            good = in_bitmap(shared.value, keys)
+            out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(good.sum(axis=1))), pa.int32()), pa.array(keys[good])))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int64()))
+
+    return entries
+
+
+class _Verifier:
+    """Verifies pairs of texts: by the complete distance of their fingerprints, then by their shingles, which are made for
+    such texts only."""
+
+    def __init__(self, sketches: DataFrame, rows: DataFrame, best: DataFrame, width: int, similarity: float):
+        """``rows``: (mark, NAMES, text); ``best``: (fp, mark, NAMES), one row for each fp."""
+        self.sketches, self.rows, self.best, self.width, self.similarity = sketches, rows, best, width, similarity
+        # The share of bits in which fingerprints of just similar sets differ, and five standard deviations more.
+        share, n = np.arccos(2 * similarity / (1 + similarity)) / np.pi, SEGMENTS * SEGMENT_BITS
+        self.radius = int(n * share + 5 * np.sqrt(n * share * (1 - share)))
+        self.sets: DataFrame | None = None
+
+    def __call__(self, pairs: DataFrame) -> DataFrame | None:
+        side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
+        apart = F.expr("aggregate(zip_with(s_a, s_b, (x, y) -> bit_count((x ^ y) & 4294967295)), 0, (n, x) -> n + x)")
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= self.radius).select("a", "b")
+        near = written(near, "simhash-near")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+        wanted = written(self.best.join(wanted if self.sets is None else wanted.join(self.sets, "fp", "left_anti"), "fp"), "simhash-wanted")
+        if not wanted.isEmpty():
+            met = self.rows.filter(maybe_in(bitmap(wanted, "mark"), F.col("mark"))).join(wanted.drop("mark"), NAMES)
+            texts = met.groupBy("fp").agg(F.first("text").alias("text"))
+            made = written(texts.select("fp", _sets(self.width)(F.col("text")).alias("hashes")), "simhash-sets")
+            self.sets = made if self.sets is None else self.sets.union(made)
+        if self.sets is None:
+            return None
+        side = lambda c: self.sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"h_{c}"))
+        both = F.size(F.array_intersect("h_a", "h_b"))
+        fits = F.least(F.size("h_a"), F.size("h_b")) >= self.similarity * F.greatest(F.size("h_a"), F.size("h_b"))
+        found = near.join(side("a"), "a").join(side("b"), "b").filter(fits)
+        found = found.filter(both >= self.similarity * (F.size("h_a") + F.size("h_b") - both)).select("a", "b")
+        found = written(found, "simhash-similar")
+        return None if found.isEmpty() else found
+
+
+def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
+    """``sketches``: rows (fp, segs), one for each text. Rows (node, root) of the texts that are linked to others; None
+    if there are no links."""
+    ordered = lambda pairs: pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    buckets = _entries(sketches).groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
+    buckets = written(buckets, "simhash-buckets")
+    links = verify(written(ordered(buckets), "simhash-pairs"))
+    roots = components(links, "simhash-stars") if links else None
+    larger = buckets.filter("n > 2").select("key")
+    if larger.isEmpty():
+        return roots
+    members = sketches.select("fp", F.explode(_entries_in(bitmap(larger, "key"))(F.col("segs"))).alias("key")).join(larger, "key")
+    members = written(members, "simhash-members")
+    for k in range(STARS + 1):
+        root = F.coalesce("root", "fp").alias("root")
+        rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", root) if roots else members.select("key", "fp", F.col("fp").alias("root"))
+        hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k), F.pmod("key", F.lit(4))))
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
+        open_ = rooted.join(mixed.select("key", "hub"), "key")
+        if k < STARS:
+            pairs = open_.filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+        else:  # every pair has a side outside the entry's largest group
+            open_ = written(open_.select("key", "fp", "root"), "simhash-open")
+            main = open_.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+            rest = open_.join(main, "key").filter("root != main").select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"))
+            pairs = rest.join(open_.withColumnRenamed("fp", "b"), "key").filter("root_a != root").select("a", "b")
+        pairs = written(ordered(pairs), "simhash-pairs")
+        if pairs.isEmpty():
+            break
+        found = verify(pairs)
+        if found:
+            links = found if links is None else links.union(found)
+            roots = components(links, "simhash-stars")
+    return roots
 
 
-def best_of(name: str) -> Column:
-    return F.min(name).alias(name)
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents without near copies: of each group linked by similarity the row with the smallest id stays (null ids
+    last; among rows of that id the one with the smallest text hash, once if it is repeated). All columns are kept; a
+    text of fewer than ``width`` words is one shingle, and blank texts are copies of each other."""
+    key = [F.col(doc_id).isNull(), F.coalesce(F.col(doc_id), F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
+    columns = [c.alias(n) for c, n in zip(key, NAMES)] + [F.xxhash64(*key).alias("mark")]
+    marked = docs.select(*columns, _sketched(width)(F.col(text).cast("string")).alias("s")).select(*NAMES, "mark", "s.*")
+    marked = written(marked, "simhash-sketches")
+    best = written(marked.groupBy("fp").agg(F.min(F.struct(*NAMES, "mark", "segs")).alias("best")).select("fp", "best.*"), "simhash-first")
+    rows = docs.select(*columns, F.col(text).cast("string").alias("text"))
+    sketches, best = best.select("fp", "segs"), best.select("fp", *NAMES, "mark")
+    roots = similar_groups(sketches, _Verifier(sketches, rows, best, width, similarity))
+    if roots:
+        grouped = best.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        best = grouped.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(F.struct(*NAMES)).alias("best")).select("best.*")
+    counted = marked.groupBy(*NAMES, "mark").agg(F.count("*").alias("n"))
+    decided = counted.join(best.select(*NAMES, F.lit(True).alias("stays")), NAMES, "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
+    doubtful = written(decided.filter("NOT stays OR n > 1"), "simhash-doubtful")
+    # Rows that surely stay aren't shuffled.
+    packed = docs.select(F.struct("*").alias("doc"), *columns).withColumn("met", maybe_in(bitmap(doubtful, "mark"), F.col("mark")))
+    met = packed.filter("met").join(doubtful.select(*NAMES, "stays"), NAMES, "left").filter("stays IS NULL OR stays")
+    return packed.filter("NOT met").select("doc.*").union(met.dropDuplicates(NAMES).select("doc.*"))
 
 
 def op1(spark, sf_dir):

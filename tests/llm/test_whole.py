@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyforge.llm import langid, lm, minhash
+from tallyforge.llm import langid, lm, simhash
 from tallyforge.llm.shared import table
 
 DATA = "/root/testdata/sf0.01"
@@ -55,9 +55,9 @@ def near_copies():
     return rows | {len(rows): "", len(rows) + 1: " \n", len(rows) + 2: "A few words", len(rows) + 3: "a FEW  words"}
 
 
-@pytest.mark.parametrize("stars", [minhash.STARS, 0])
+@pytest.mark.parametrize("stars", [simhash.STARS, 0])
 def test_near_copies_go(spark, monkeypatch, stars):
-    monkeypatch.setattr(minhash, "STARS", stars)
+    monkeypatch.setattr(simhash, "STARS", stars)
     rows = near_copies()
     want = plain_kept(rows)
     assert 12 < len(want) < len(rows) - 40
