@@ -4,9 +4,10 @@ import hashlib
 import os
 import random
 
+import numpy as np
 import pytest
 
-from tallyforge.llm import secrets, warc
+from tallyforge.llm import mixing, secrets, warc
 
 DATA = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
@@ -80,3 +81,30 @@ def test_member_of_16_mib(spark):
     got = {x["page_id"]: x for x in warc.read_warc(spark, folder, 1 << 20).select("page_id", "payload_bytes", "payload_digest", "record_type").collect()}
     assert {k: (v["payload_bytes"], v["record_type"]) for k, v in got.items()} == {1: (len(noise), "response"), 2: (5, "response"), 3: (len(noise), "revisit")}
     assert got[1]["payload_digest"] == got[3]["payload_digest"] == hashlib.sha256(noise.encode()).hexdigest()
+
+
+def _plain_nnls(a: np.ndarray, b: np.ndarray, w: np.ndarray, steps: int = 20000) -> float:
+    """The least (a r - b)' w (a r - b) over r >= 0, by many short projected gradient steps."""
+    r = np.ones(a.shape[1])
+    rate = 1 / np.linalg.norm(a.T @ w @ a, 2)
+    for _ in range(steps):
+        r = np.maximum(0, r - rate * (a.T @ (w @ (a @ r - b))))
+    return float((a @ r - b) @ w @ (a @ r - b))
+
+
+@pytest.mark.parametrize("share", [[0.3, 0.4, 0.3], [0.9, 0.05, 0.05]])
+def test_rates_against_plain_least_squares(spark, share):
+    """The squared distance comes within a hundredth of the first one of the least there is, with targets that can be met
+    and with such that can't."""
+    g = np.random.default_rng(23)
+    p, tokens = g.dirichlet([4.0, 3.0, 3.0], 60), g.integers(1, 300, 60)
+    rows = spark.createDataFrame([(int(n), [float(x) for x in q]) for n, q in zip(tokens, p)], "tokens long, p array<double>")
+    steps, there, asked = mixing.fit_rates(rows, share)
+    w = np.linalg.inv((p * tokens[:, None]).T @ p)
+    reached = (np.array(there) - asked) @ w @ (np.array(there) - asked)
+    least, start = _plain_nnls((p * tokens[:, None]).T, np.array(asked), w), (tokens @ p - asked) @ w @ (tokens @ p - asked)
+    assert reached <= least + 0.01 * start
+    rates = np.ones(60)
+    for s in steps:
+        rates = np.maximum(0, rates - p @ np.array(s))
+    assert np.allclose((tokens * rates) @ p, there, rtol=1e-6)
