@@ -1,17 +1,22 @@
 """Language-model scores by logistic context mixing.
 
-A text is coded as the bits of a Huffman code of its bytes, with an end symbol. Each bit is predicted from several
-hashed contexts (the last two, three, four and six bytes, the word so far); their predictors are bit counts of all training documents,
-held in tables of ``SLOTS`` slots. Predictions are mixed in the logistic domain with weights that a gate chooses, the
-confidence of the two longest contexts; these weights are learnt online on all training documents, those of each of
-``FOLDS`` folds with tables that leave their fold out, in each partition on its own and then averaged by the bits that a
-gate has met. The tables used in scoring hold all training documents. In scoring, each text also has an offset of the weights of its own, refined after every
-``BLOCK`` bits. The sum of the bits' costs is the text's log probability; ``bits_per_byte`` is per byte of UTF-8.
-
-Beside it stands a unigram model with exact counts of all training tokens. Counts of frequent words (at most ``HEAD``)
-are broadcast; the other words of a document go to their counts by a join, where no key is frequent.
-
-Defined cases: a null or empty text is its end symbol alone; without training documents all bits are even and all
+A text is its tokens: lower-cased words, then an end. Tokens are coded as the bits of a Huffman code of the most frequent
+words (at most ``HEAD``), the end, and a sign for any other word. Each bit is predicted from several hashed contexts (none,
+the last word, the last two, the last three, and the one before the last); their predictors are bit counts of all training
+documents, held in tables of ``SLOTS`` slots. Predictions are mixed in the logistic domain with weights that a gate
+chooses, the confidence of two of the contexts; these weights are learnt online on all training documents, those of each
+of ``FOLDS`` folds with tables that leave their fold out, in each partition on its own and then averaged by the bits that a
+gate has met. The tables used in scoring hold all training documents. In scoring, each text also has an offset of the
+weights of its own, refined after every ``BLOCK`` bits.
+
+Other words have exact counts in a table that grows with the corpus and is met by a join, where no key is frequent: after
+the sign, a word of count c has the probability (c + 1) / (T + V + 1), of T such tokens and V such words in training; the
+rest is for unknown words, which are spelt out by a second mixer, over the bytes of a word (contexts: the last two, three,
+four and six bytes, the word so far) and learnt from all words of the training documents, each once. So the probabilities
+of all texts sum to one, and the score of a text is comparable with its base score, that of a unigram model with exact
+counts. ``bits_per_byte`` is per byte of the text's UTF-8.
+
+Defined cases: a null or empty text is its end alone; without training documents all bits are even and all
 counts zero; null ids count as the empty text for the fold; repeated rows get equal results; an empty table gives an
 empty result. Of the input only the named columns are read, so other columns may have any name.
 """
@@ -31,8 +36,8 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 
 from tallyforge.llm.shared import fold, table, written
 
-ORDERS = (2, 3, 4, 6)  # bytes of the contexts before the word's
-N_CONTEXTS = len(ORDERS) + 1
+ORDERS = (2, 3, 4, 6)  # bytes of the speller's contexts before the word so far
+N_CONTEXTS = 5
 BITS = 20
 SLOTS = 1 << BITS
 CHUNK = 1 << 15  # slots that move together
@@ -45,12 +50,12 @@ LIMIT = 8.0  # of a stretched probability
 SURE = np.float32(20.0)  # of a mixed one
 LEVELS = 8
 GATES = LEVELS**2
-LOOK_BACK = 32
-PIECE = 1 << 18  # bytes that are scored at once
+PIECE = 1 << 18  # symbols that are scored at once
 STRETCH = 1 << 14
-COUNT_PIECE = 1 << 20  # bytes that are counted at once
+COUNT_PIECE = 1 << 20  # symbols that are counted at once
+COUNT_BYTES = 64 << 20  # of training text that a task counts, if there are more than two tasks a core
+COUNT_WORDS = 1 << 22
 SCALE = 15.0  # of stretched probabilities in one signed byte
-END = 256
 RESULT = StructType([
     StructField("n_tokens", LongType()), StructField("head_known", LongType()), StructField("head_log", DoubleType()),
     StructField("tail", ArrayType(StringType())), StructField("score", DoubleType()), StructField("n_bytes", LongType()),
@@ -58,9 +63,10 @@ RESULT = StructType([
 
 
 class Code:
-    """A Huffman code of the 257 symbols: for each symbol the bits of its word and the tree's nodes that they leave."""
+    """A Huffman code of an alphabet's symbols: for each symbol the bits of its word and the tree's nodes that they leave."""
 
-    def __init__(self, histogram: np.ndarray):
+    def __init__(self, histogram: np.ndarray, alphabet: Bytes | Words | None = None):
+        self.alphabet = alphabet or BYTES
         heap = [(float(n) + 0.01, s, s) for s, n in enumerate(histogram)]
         heapq.heapify(heap)
         parent: dict[int, tuple[int, int]] = {}
@@ -115,15 +121,54 @@ def _contexts(b: np.ndarray) -> list[np.ndarray]:
     return orders
 
 
+class Bytes:
+    """The bytes of a word, and its end."""
+
+    end, pad, look_back = 256, 0, 32
+
+    def symbols(self, text: bytes) -> np.ndarray:
+        return np.frombuffer(text, np.uint8).astype(np.int64)
+
+    def contexts(self, symbols: np.ndarray) -> list[np.ndarray]:
+        return _contexts(np.where(symbols == self.end, 0, symbols))
+
+
+class Words:
+    """Frequent words, a sign for any other, and a text's end."""
+
+    look_back = 3
+
+    def __init__(self, words: list[bytes]):
+        self.number = {w: i for i, w in enumerate(words)}
+        self.other, self.end = len(words), len(words) + 1
+        self.pad = self.end
+
+    def symbols(self, text: bytes | np.ndarray) -> np.ndarray:
+        if isinstance(text, np.ndarray):
+            return text
+        get, other = self.number.get, self.other
+        return np.array([get(w, other) for w in text.lower().split()], np.int64)
+
+    def contexts(self, symbols: np.ndarray) -> list[np.ndarray]:
+        """The two on which the gate depends, those of the last word and of the last two, come last."""
+        one, two, three = (np.concatenate((np.full(k, self.pad), symbols[:-k]))[: len(symbols)].astype(np.uint64) + np.uint64(1) for k in (1, 2, 3))
+        with np.errstate(over="ignore"):
+            pair = one * np.uint64(0x9E3779B97F4A7C15) ^ two
+            return [np.zeros(len(symbols), np.int32), _hashed(two + np.uint64(1 << 40)), _hashed((pair * np.uint64(0xBF58476D1CE4E5B9)) ^ three), _hashed(one + np.uint64(1 << 41)), _hashed(pair)]
+
+
+BYTES = Bytes()
+
+
 class Bits:
     """The coded bits of a piece: the symbol and node of each, its sign (1 for a zero bit, -1 for a one, 0 for a filler)
     and the contexts of the coded symbols."""
 
     def __init__(self, code: Code, symbols: np.ndarray, coded: np.ndarray, counts: np.ndarray | None = None):
-        """``symbols``: 0 to 256; ``coded``: which of them are coded, the others being context only. With ``counts``,
+        """``symbols``: those of the alphabet; ``coded``: which of them are coded, the others being context only. With ``counts``,
         the coded symbols of each text, bits are arranged by blocks: the first BLOCK bits of each text, then the next of
         each that has more, and so on, texts with more bits first; the last block of a text is filled up."""
-        self.contexts = [c[coded].astype(np.int64) for c in _contexts(np.where(symbols == END, 0, symbols))]
+        self.contexts = [c[coded].astype(np.int64) for c in code.alphabet.contexts(symbols)]
         s = symbols[coded]
         lengths = code.length[s]
         ends = np.cumsum(lengths)
@@ -150,12 +195,13 @@ class Bits:
 def _counted(code: Code, symbols: np.ndarray, coded: np.ndarray, counts: np.ndarray) -> None:
     """Add a piece's bits to ``counts`` (contexts, 2 * SLOTS). Equal (context, symbol) pairs are merged before their
     symbols are spelt out as bits."""
-    s = symbols[coded].astype(np.int32)
-    for c, context in enumerate(_contexts(np.where(symbols == END, 0, symbols))):
-        pairs = np.sort((context[coded] << 9) | s)
+    s = symbols[coded]
+    shift = int(code.alphabet.end).bit_length()
+    for c, context in enumerate(code.alphabet.contexts(symbols)):
+        pairs = np.sort((context[coded].astype(np.int64) << shift) | s)
         new = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.empty(0, np.int64)
         n = np.diff(np.append(new, len(pairs)))
-        of, symbol = pairs[new] >> 9, pairs[new] & 511
+        of, symbol = pairs[new] >> shift, pairs[new] & (1 << shift) - 1
         lengths = code.length[symbol]
         ends = np.cumsum(lengths)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(code.first[symbol] - (ends - lengths), lengths)
@@ -163,37 +209,37 @@ def _counted(code: Code, symbols: np.ndarray, coded: np.ndarray, counts: np.ndar
         np.add.at(counts[c], slots * 2 + (code.sign[at] < 0), np.repeat(n, lengths).astype(counts.dtype))
 
 
-def _pieces(texts: list[bytes], most: int = 0) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-    """Pieces of about PIECE bytes: numbers of the texts, symbols, which are coded, and each text's coded count. Short
-    texts share a piece; a long one is in several, each with the bytes before it as context."""
-    most = most or PIECE
+def _pieces(texts: list, most: int = 0, alphabet: Bytes | Words = BYTES) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of about PIECE symbols: numbers of the texts, symbols, which are coded, and each text's coded count. Short
+    texts share a piece; a long one is in several, each with the symbols before it as context."""
+    most, back = most or PIECE, alphabet.look_back
+    of = [alphabet.symbols(t) for t in texts]
+    gap = np.full(back, alphabet.pad, np.int64)
     held: list[int] = []
     size = 0
 
     def shared():
         parts, coded = [], []
         for i in held:
-            parts.append(np.concatenate((np.zeros(LOOK_BACK, np.int64), np.frombuffer(texts[i], np.uint8).astype(np.int64), [END])))
-            coded += [np.zeros(LOOK_BACK, bool), np.ones(len(texts[i]) + 1, bool)]
-        return list(held), np.concatenate(parts), np.concatenate(coded), np.array([len(texts[i]) + 1 for i in held])
-
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-        if len(texts[i]) + LOOK_BACK >= most:
-            for start in range(0, len(texts[i]), most):
-                b = np.frombuffer(texts[i], np.uint8)[max(0, start - LOOK_BACK) : start + most].astype(np.int64)
-                before = min(start, LOOK_BACK)
-                lead = np.zeros(LOOK_BACK - before, np.int64)
-                tail = [END] if start + most >= len(texts[i]) else []
-                symbols = np.concatenate((lead, b, tail)).astype(np.int64)
-                coded = np.arange(len(symbols)) >= LOOK_BACK
+            parts += [gap, of[i], [alphabet.end]]
+            coded += [np.zeros(back, bool), np.ones(len(of[i]) + 1, bool)]
+        return list(held), np.concatenate(parts), np.concatenate(coded), np.array([len(of[i]) + 1 for i in held])
+
+    for i in sorted(range(len(of)), key=lambda i: -len(of[i])):
+        if len(of[i]) + back >= most:
+            for start in range(0, len(of[i]), most):
+                lead = gap[min(start, back) :]
+                tail = [alphabet.end] if start + most >= len(of[i]) else []
+                symbols = np.concatenate((lead, of[i][max(0, start - back) : start + most], tail)).astype(np.int64)
+                coded = np.arange(len(symbols)) >= back
                 yield [i], symbols, coded, np.array([int(coded.sum())])
         else:
-            if held and size + len(texts[i]) + LOOK_BACK + 1 > most:
+            if held and size + len(of[i]) + back + 1 > most:
                 yield shared()
                 held.clear()
                 size = 0
             held.append(i)
-            size += len(texts[i]) + LOOK_BACK + 1
+            size += len(of[i]) + back + 1
     if held:
         yield shared()
 
@@ -227,16 +273,16 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for place, n in zip(batch["place"].to_pylist(), batch["n"]):
-            part = np.frombuffer(n.as_py(), np.uint8).reshape(4, -1).T.ravel().view("<i4").astype(np.int64)
+            planes = np.frombuffer(n.as_py(), np.uint8).reshape(-1, 2 * CHUNK)
+            part = planes.T.ravel().view(f"<i{len(planes)}").astype(np.int64)
             sums[place] = sums[place] + part if place in sums else part
     yield from sums.items()
 
 
 def _chunk(place: int, salt: int, counts: np.ndarray) -> pa.RecordBatch:
-    """``place``: fold and chunk. Counts beyond 2^31 are halved with their slot's other count until they fit."""
-    while counts.max(initial=0) >= 1 << 30:
-        counts = np.where((counts.reshape(-1, 2).max(axis=1, keepdims=True) >= 1 << 30), counts.reshape(-1, 2) // 2, counts.reshape(-1, 2)).ravel()
-    planes = counts.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()  # the high bytes, mostly zero, compress well
+    """``place``: fold and chunk."""
+    kind = "<i4" if counts.max(initial=0) < 1 << 31 else "<i8"
+    planes = counts.astype(kind).view(np.uint8).reshape(len(counts), -1).T.tobytes()  # the high bytes, mostly zero, compress well
     arrays = pa.array([place], pa.int32()), pa.array([salt], pa.int32()), pa.array([planes], pa.binary())
     return pa.RecordBatch.from_arrays(list(arrays), ["place", "salt", "n"])
 
@@ -267,7 +313,7 @@ def bit_tables(docs: DataFrame, code: Code) -> list[tuple[np.ndarray, np.ndarray
         counts = np.zeros((FOLDS, N_CONTEXTS, 2 * SLOTS), np.int32)
         for batch in batches:
             for f, texts in _by_fold(batch):
-                for _, symbols, coded, _ in _pieces(texts, COUNT_PIECE):
+                for _, symbols, coded, _ in _pieces(texts, COUNT_PIECE, shared.value.alphabet):
                     _counted(shared.value, symbols, coded, counts[f])
         for place, part in enumerate(counts.reshape(-1, 2 * CHUNK)):
             if part.any():
@@ -326,7 +372,7 @@ class Mixer:
 
     def learn(self, texts: list[bytes], rate: float = 0.02, step: int = 1 << 12) -> None:
         """One online pass over the texts. ``met``: the bits of each gate."""
-        for _, symbols, coded, _ in _pieces(texts):
+        for _, symbols, coded, _ in _pieces(texts, 0, self.code.alphabet):
             bits = Bits(self.code, symbols, coded)
             x, gate = self.inputs(bits)
             for at in range(0, len(gate), step):
@@ -337,11 +383,11 @@ class Mixer:
                 for c in range(N_CONTEXTS):
                     self.weights[:, c] -= (rate * np.bincount(g, wrong * xs[c], GATES) / np.maximum(1, np.sqrt(n * 16.0))).astype(np.float32)
 
-    def costs(self, texts: list[bytes]) -> np.ndarray:
+    def costs(self, texts: list) -> np.ndarray:
         """Natural log of each text's probability, times -1."""
         out, own = np.zeros(len(texts)), np.zeros((len(texts), N_CONTEXTS), np.float32)
         weights, step = np.ascontiguousarray(self.weights.T), np.float32(RATE / (8 * BLOCK))
-        for numbers, symbols, coded, counts in _pieces(texts):
+        for numbers, symbols, coded, counts in _pieces(texts, 0, self.code.alphabet):
             bits = Bits(self.code, symbols, coded, counts)
             x, gate = self.inputs(bits)
             odds = np.zeros(len(gate), np.float32)  # stretched at first
@@ -366,18 +412,22 @@ class Mixer:
 
 
 class Model:
-    def __init__(self, mixer: Mixer, head: dict[bytes, float]):
-        self.mixer, self.head = mixer, head
+    """The mixer over words, and log10(count + 1) of each of its symbols (0 for other words and the end)."""
+
+    def __init__(self, mixer: Mixer, logs: np.ndarray):
+        self.mixer, self.logs = mixer, logs
 
     def score(self, texts: list[bytes]) -> list[tuple]:
-        """n_tokens, known words of the head, sum of log10(count + 1) over them, other words, log10 score, bytes."""
-        costs, get = self.mixer.costs(texts), self.head.get
+        """n_tokens, words of the head, sum of log10(count + 1) over them, other words, log10 score without these, bytes."""
+        words = self.mixer.code.alphabet
+        get, other, split, coded = words.number.get, words.other, [t.lower().split() for t in texts], []
+        for ws in split:
+            coded.append(np.array([get(w, other) for w in ws], np.int64))
         out = []
-        for text, cost in zip(texts, costs):
-            words = text.lower().split()
-            found = [get(w) for w in words]
-            tail = [w.decode("utf-8", "replace") for w, x in zip(words, found) if x is None]
-            out.append((len(words) + 1, len(words) - len(tail), float(sum(x for x in found if x is not None)), tail, -cost / log(10), len(text)))
+        for text, ws, s, cost in zip(texts, split, coded, self.mixer.costs(coded)):
+            rare = np.flatnonzero(s == other).tolist()
+            tail = [ws[i].decode("utf-8", "replace") for i in rare]
+            out.append((len(ws) + 1, len(ws) - len(tail), float(self.logs[s].sum()), tail, -cost / log(10), len(text)))
         return out
 
 
@@ -419,8 +469,22 @@ def _scored(model, text: Column) -> Column:
     return score(text.cast("string"))
 
 
-def _head(words: DataFrame) -> tuple[dict[bytes, float], int]:
-    """Words of at least the returned count, as few as HEAD, with log10(count + 1)."""
+def _spelt(mixer, word: Column) -> Column:
+    """log10 of a word's probability by the speller; null for null."""
+
+    @F.arrow_udf(DoubleType())
+    def spelt(words: pa.Array) -> pa.Array:
+        there = [i for i, valid in enumerate(words.is_valid().to_pylist()) if valid]
+        out = np.full(len(words), np.nan)
+        if there:
+            out[there] = -mixer.value.costs(_encoded(words.take(pa.array(there)))) / log(10)
+        return pa.array(out, pa.float64(), from_pandas=True)
+
+    return spelt(word)
+
+
+def _head(words: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
+    """Words of at least the returned count, as few as HEAD, and their counts, by count and name."""
     sizes = words.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("size")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
     least, total = None, 0
     for row in sorted(sizes, key=lambda r: -r["size"]):  # a few hundred rows
@@ -429,9 +493,18 @@ def _head(words: DataFrame) -> tuple[dict[bytes, float], int]:
             break
         least = row["least"]
     if least is None:
-        return {}, 1 << 62
+        return [], np.zeros(0, np.int64), 1 << 62
     found = words.filter(F.col("n") >= least).toArrow()
-    return {w.encode(): log10(n + 1) for w, n in zip(found["word"].to_pylist(), found["n"].to_pylist())}, least
+    rows = sorted(zip(found["n"].to_pylist(), found["word"].to_pylist()), key=lambda r: (-r[0], r[1]))
+    return [w.encode() for _, w in rows], np.array([n for n, _ in rows], np.int64), least
+
+
+def _mixer(rows: DataFrame, code: Code, tasks: int) -> Mixer:
+    """Tables and weights from ``rows`` (columns text and fold). Each of ``tasks`` tasks counts into tables of its own."""
+    *others, whole = bit_tables(rows.coalesce(tasks), code)
+    mixer = Mixer(code, *whole)
+    mixer.weights = learnt_weights(rows, code, others)
+    return mixer
 
 
 def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -443,32 +516,41 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     words = counted.filter("kind = 0").select("word", "n")
     bytes_ = {int(r["word"]): r["n"] for r in counted.filter("kind = 1").collect()}  # 256 rows
     n_docs = (counted.filter("kind = 2").first() or {"n": 0})["n"]
-    tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tokens, distinct = tokens + n_docs, distinct + bool(n_docs)
-    bottom = log10(tokens + distinct + 1)
-
-    code = Code(np.array([bytes_.get(i, 0) for i in range(256)] + [n_docs]))
-    folded = training.select("text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))  # copies share a fold
-    *others, whole = bit_tables(folded, code)
-    mixer = Mixer(code, *whole)
-    mixer.weights = learnt_weights(folded, code, others)
-    head, least = _head(words)
-    model = spark.sparkContext.broadcast(Model(mixer, head))
+    head, n_head, least = _head(words)
+    rare = words.filter(F.col("n") < least)
+    rare_tokens, rare_words = rare.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    tokens, distinct = rare_tokens + int(n_head.sum()) + n_docs, rare_words + len(head) + bool(n_docs)
+    bottom, rare_bottom = log10(tokens + distinct + 1), log10(rare_tokens + rare_words + 1)
+
+    halves = lambda c: F.pmod(F.xxhash64(c), F.lit(FOLDS)).cast("int").alias("fold")  # noqa: E731  copies share a fold
+    least_tasks = 2 * spark.sparkContext.defaultParallelism
+    code = Code(np.concatenate((n_head, [rare_tokens, n_docs])), Words(head))
+    mixer = _mixer(training.select("text", halves("text")), code, max(least_tasks, sum(bytes_.values()) // COUNT_BYTES))
+    speller = _mixer(words.select(F.col("word").alias("text"), halves("word")), Code(np.array([bytes_.get(i, 0) for i in range(256)] + [tokens])), max(least_tasks, rare_words // COUNT_WORDS))
+    model = spark.sparkContext.broadcast(Model(mixer, np.concatenate((np.log10(n_head + 1), [0.0, 0.0]))))
+    spelling = spark.sparkContext.broadcast(speller)
 
     found = rows.select("doc_id", "held_out", F.monotonically_increasing_id().alias("row"), _scored(model, F.col("text")).alias("s"))
     found = written(found.select("doc_id", "held_out", "row", "s.*"), "lm-scores")
     tail = found.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
-    known = tail.join(words.filter(F.col("n") < least), "word")
-    rest = known.groupBy("row").agg(F.sum("k").alias("tail_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("tail_log"))
+    met = tail.join(rare, "word", "left")
+    met = met.withColumn("spelt", _spelt(spelling, F.when(F.col("n").isNull(), F.col("word"))))
+    each = F.coalesce(F.log10(F.col("n") + 1), F.col("spelt")) - F.lit(rare_bottom)
+    rest = met.groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("tail_known"),
+        F.sum(F.when(F.col("n").isNotNull(), F.col("k") * F.log10(F.col("n") + 1))).alias("tail_log"),
+        F.sum(F.col("k") * each).alias("tail_score"),
+    )
     joined = found.join(rest, "row", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    score = F.col("score") + zero("tail_score")
     return joined.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + zero("tail_known") + int(bool(n_docs))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("head_log") + zero("tail_log") + log10(n_docs + 1) - F.col("n_tokens") * bottom).alias("base_score"),
-        "score",
-        (-F.col("score") * log(10, 2) / F.greatest(F.lit(1), "n_bytes")).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score * log(10, 2) / F.greatest(F.lit(1), "n_bytes")).alias("bits_per_byte"),
     )
 
 
