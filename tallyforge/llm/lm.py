@@ -50,11 +50,12 @@ LIMIT = 8.0  # of a stretched probability
 SURE = np.float32(20.0)  # of a mixed one
 LEVELS = 8
 GATES = LEVELS**2
-PIECE = 1 << 18  # symbols that are scored at once
+PIECE = 1 << 17  # symbols (of a byte's bits) that are scored at once
 STRETCH = 1 << 14
-COUNT_PIECE = 1 << 20  # symbols that are counted at once
-COUNT_BYTES = 64 << 20  # of training text that a task counts, if there are more than two tasks a core
-COUNT_WORDS = 1 << 22
+COUNT_PIECE = 1 << 16  # symbols that are counted at once
+COUNT_BYTES = 64 << 20  # of training text that a task counts, if there are more tasks than cores
+COUNT_WORDS = 1 << 20  # that a task of the speller counts
+SUMMED = 64  # tables of tasks that are summed at once
 SCALE = 15.0  # of stretched probabilities in one signed byte
 RESULT = StructType([
     StructField("n_tokens", LongType()), StructField("head_known", LongType()), StructField("head_log", DoubleType()),
@@ -124,7 +125,7 @@ def _contexts(b: np.ndarray) -> list[np.ndarray]:
 class Bytes:
     """The bytes of a word, and its end."""
 
-    end, pad, look_back = 256, 0, 32
+    end, pad, look_back, bits = 256, 0, 32, 1
 
     def symbols(self, text: bytes) -> np.ndarray:
         return np.frombuffer(text, np.uint8).astype(np.int64)
@@ -136,7 +137,7 @@ class Bytes:
 class Words:
     """Frequent words, a sign for any other, and a text's end."""
 
-    look_back = 3
+    look_back, bits = 3, 4  # bits: about as many a symbol as so many bytes have
 
     def __init__(self, words: list[bytes]):
         self.number = {w: i for i, w in enumerate(words)}
@@ -193,26 +194,25 @@ class Bits:
 
 
 def _counted(code: Code, symbols: np.ndarray, coded: np.ndarray, counts: np.ndarray) -> None:
-    """Add a piece's bits to ``counts`` (contexts, 2 * SLOTS). Equal (context, symbol) pairs are merged before their
-    symbols are spelt out as bits."""
+    """Add a piece's bits to ``counts`` (contexts, 2 * SLOTS)."""
     s = symbols[coded]
-    shift = int(code.alphabet.end).bit_length()
-    for c, context in enumerate(code.alphabet.contexts(symbols)):
-        pairs = np.sort((context[coded].astype(np.int64) << shift) | s)
-        new = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1]))) if len(pairs) else np.empty(0, np.int64)
-        n = np.diff(np.append(new, len(pairs)))
-        of, symbol = pairs[new] >> shift, pairs[new] & (1 << shift) - 1
-        lengths = code.length[symbol]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(code.first[symbol] - (ends - lengths), lengths)
-        slots = (np.repeat(of, lengths) + code.node[at]) & np.int64(SLOTS - 1)
-        np.add.at(counts[c], slots * 2 + (code.sign[at] < 0), np.repeat(n, lengths).astype(counts.dtype))
+    lengths = code.length[s]
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(code.first[s] - (ends - lengths), lengths)
+    node, one, place = code.node[at], (code.sign[at] < 0).astype(np.int64), np.repeat(np.arange(len(s)), lengths)
+    for own, context in zip(counts, code.alphabet.contexts(symbols)):
+        slots = context[coded].astype(np.int64)[place]
+        slots += node
+        slots &= SLOTS - 1
+        slots *= 2
+        slots += one
+        np.add.at(own, slots, own.dtype.type(1))
 
 
 def _pieces(texts: list, most: int = 0, alphabet: Bytes | Words = BYTES) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
     """Pieces of about PIECE symbols: numbers of the texts, symbols, which are coded, and each text's coded count. Short
     texts share a piece; a long one is in several, each with the symbols before it as context."""
-    most, back = most or PIECE, alphabet.look_back
+    most, back = most or PIECE // alphabet.bits, alphabet.look_back
     of = [alphabet.symbols(t) for t in texts]
     gap = np.full(back, alphabet.pad, np.int64)
     held: list[int] = []
@@ -301,8 +301,8 @@ def _chunks_of(places: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int,
     yield from found.items()
 
 
-def bit_tables(docs: DataFrame, code: Code) -> list[tuple[np.ndarray, np.ndarray]]:
-    """From the bits of ``docs`` (columns text and fold): for each context and slot the stretched probability of a one, and
+def bit_tables(docs: DataFrame, code: Code, tasks: int = 1 << 20) -> list[tuple[np.ndarray, np.ndarray]]:
+    """From the bits of ``docs`` (columns text and fold), counted by so many tasks at most: for each context and slot the stretched probability of a one, and
     for the two longest contexts the slot's part of the gate. One pair of tables for each fold, of the rows in other folds,
     and last that of all rows."""
     shared = docs.sparkSession.sparkContext.broadcast(code)
@@ -317,7 +317,7 @@ def bit_tables(docs: DataFrame, code: Code) -> list[tuple[np.ndarray, np.ndarray
                     _counted(shared.value, symbols, coded, counts[f])
         for place, part in enumerate(counts.reshape(-1, 2 * CHUNK)):
             if part.any():
-                yield _chunk(place, TaskContext.get().partitionId() % 8, part)
+                yield _chunk(place, TaskContext.get().partitionId() % salts, part)
 
     def add(batches):
         for place, counts in _added(batches):
@@ -334,9 +334,13 @@ def bit_tables(docs: DataFrame, code: Code) -> list[tuple[np.ndarray, np.ndarray
                 yield pa.RecordBatch.from_arrays(list(kinds), ["place", "stretched", "gate"])
 
     n, chunk = N_CONTEXTS * SLOTS // CHUNK, "place int, salt int, n binary"
-    parts = docs.select("text", "fold").mapInArrow(count, chunk)
-    some = parts.repartition(n, "place", "salt").mapInArrow(add, chunk)  # each salt has an eighth of the tasks
-    done = some.repartition(n, F.col("place") % n).mapInArrow(finish, "place int, stretched binary, gate binary").toArrow()  # 2 bytes a slot
+    rows = docs.select("text", "fold").coalesce(tasks)
+    salts = -(-min(tasks, rows.rdd.getNumPartitions()) // SUMMED)
+    parts = rows.mapInArrow(count, chunk)
+    if salts > 1:  # each salt has SUMMED of the tasks
+        parts = parts.repartition(n, "place", "salt").mapInArrow(add, chunk)
+    done = parts.repartition(n, F.col("place") % n).mapInArrow(finish, "place int, stretched binary, gate binary").toArrow()  # 2 bytes a slot
+    shared.destroy()
     tables, gates = np.zeros(((FOLDS + 1) * n, CHUNK), np.int8), np.zeros(((FOLDS + 1) * n, CHUNK), np.int8)
     for place, stretched, gate in zip(done["place"].to_pylist(), done["stretched"], done["gate"]):
         tables[place], gates[place] = np.frombuffer(stretched.as_py(), np.int8), np.frombuffer(gate.as_py(), np.int8)
@@ -450,6 +454,7 @@ def learnt_weights(docs: DataFrame, code: Code, others: list[tuple[np.ndarray, n
     weights = np.full((GATES, N_CONTEXTS), 0.35, np.float32)
     for r in sums.filter("met > 0").collect():  # a row for each gate and context
         weights[r["gate"], r["context"]] = r["w"] / r["met"]
+    start.destroy()
     return weights
 
 
@@ -501,7 +506,7 @@ def _head(words: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
 
 def _mixer(rows: DataFrame, code: Code, tasks: int) -> Mixer:
     """Tables and weights from ``rows`` (columns text and fold). Each of ``tasks`` tasks counts into tables of its own."""
-    *others, whole = bit_tables(rows.coalesce(tasks), code)
+    *others, whole = bit_tables(rows, code, tasks)
     mixer = Mixer(code, *whole)
     mixer.weights = learnt_weights(rows, code, others)
     return mixer
@@ -523,10 +528,10 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     bottom, rare_bottom = log10(tokens + distinct + 1), log10(rare_tokens + rare_words + 1)
 
     halves = lambda c: F.pmod(F.xxhash64(c), F.lit(FOLDS)).cast("int").alias("fold")  # noqa: E731  copies share a fold
-    least_tasks = 2 * spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
     code = Code(np.concatenate((n_head, [rare_tokens, n_docs])), Words(head))
-    mixer = _mixer(training.select("text", halves("text")), code, max(least_tasks, sum(bytes_.values()) // COUNT_BYTES))
-    speller = _mixer(words.select(F.col("word").alias("text"), halves("word")), Code(np.array([bytes_.get(i, 0) for i in range(256)] + [tokens])), max(least_tasks, rare_words // COUNT_WORDS))
+    mixer = _mixer(training.select("text", halves("text")), code, max(cores, sum(bytes_.values()) // COUNT_BYTES))
+    speller = _mixer(words.select(F.col("word").alias("text"), halves("word")), Code(np.array([bytes_.get(i, 0) for i in range(256)] + [tokens])), 1 + distinct // COUNT_WORDS)
     model = spark.sparkContext.broadcast(Model(mixer, np.concatenate((np.log10(n_head + 1), [0.0, 0.0]))))
     spelling = spark.sparkContext.broadcast(speller)
 

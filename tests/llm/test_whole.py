@@ -76,7 +76,7 @@ def test_lm_learns_from_all_training_documents(spark, monkeypatch):
     docs = [(i, f"{'abcdefgh'[i % 8]} text number {i} of them") for i in range(60)]
     made, learnt = [], []
     tables, weights = lm.bit_tables, lm.learnt_weights
-    monkeypatch.setattr(lm, "bit_tables", lambda d, c: made.append((d.count(), tables(d, c))) or made[-1][1])
+    monkeypatch.setattr(lm, "bit_tables", lambda d, c, *n: made.append((d.count(), tables(d, c, *n))) or made[-1][1])
     monkeypatch.setattr(lm, "learnt_weights", lambda d, c, o: learnt.append((d.count(), weights(d, c, o))) or learnt[-1][1])
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     lm.scores(frame, F.col("doc_id") % 6 == 0).collect()
