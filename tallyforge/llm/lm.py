@@ -41,7 +41,7 @@ N_CONTEXTS = 5
 BITS = 20
 SLOTS = 1 << BITS
 CHUNK = 1 << 15  # slots that move together
-HEAD = 200_000
+HEAD = 1 << 16
 FOLDS = 2
 BLOCK = 256
 RATE = 2.0
@@ -253,7 +253,8 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     histogram, docs, words = np.zeros(256, np.int64), 0, Counter()
 
     def rows(kind, names, n):
-        return pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(names), pa.int32()), "word": pa.array(names, pa.string()), "n": pa.array(n, pa.int64())})
+        words_ = pa.array(names, pa.binary()).cast(pa.string())  # cut at ASCII signs, so still UTF-8
+        return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(names), kind, np.int32)), "word": words_, "n": pa.array(n, pa.int64())})
 
     for batch in batches:
         for text in _encoded(batch["text"]):
@@ -261,11 +262,11 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs += 1
             words.update(text.lower().split())
             if len(words) > 400_000:
-                yield rows(0, [w.decode("utf-8", "replace") for w in words], list(words.values()))
+                yield rows(0, list(words), list(words.values()))
                 words.clear()
-    yield rows(0, [w.decode("utf-8", "replace") for w in words], list(words.values()))
-    yield rows(1, [str(i) for i in range(256)], histogram.tolist())
-    yield rows(2, [""], [docs])
+    yield rows(0, list(words), list(words.values()))
+    yield rows(1, [str(i).encode() for i in range(256)], histogram.tolist())
+    yield rows(2, [b""], [docs])
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
