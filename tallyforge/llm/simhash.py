@@ -13,16 +13,16 @@ Links by similarity (``keep_one``): documents are linked if they share at least
 ``WIDTH``-word shingles (Jaccard). Each shingle's hash gives a signed byte for each bit of a long fingerprint, which is set
 if their sum is positive; of SEGMENTS x SEGMENT_BITS bits such documents' fingerprints differ in up to 15 %. That is far
 for a segment, so there are many and short ones, and the ball around a segment is spanned by its ``SOFT`` least certain
-bits, those whose sums are nearest to zero: a segment enters the tables under each of its 16 values, and two segments meet
+bits, those whose sums are nearest to zero: a segment enters the tables under each of its 8 values, and two segments meet
 if they differ in such bits of either only. What meets is verified by the complete distance, then by the shingles
-themselves. A pair of similarity 0.8 is met with a chance of 0.99, one of 0.85 of 0.999, whatever the number of documents.
+themselves. A pair of similarity 0.8 is met with a chance of 0.96, one of 0.85 of 0.997, whatever the number of documents.
 SEGMENT_BITS suits up to 30 million different texts or so (unrelated ones then rarely meet); for each doubling beyond, a
 bit more in a segment and a tenth more segments keep both.
 
 Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
-last text of each table entry are compared; of entries with more, all texts with one of four of them, chosen by hash, in
-``STARS`` rounds, and after these all pairs of an entry that are still in different groups. So a large group of near
-copies costs few comparisons, and no meeting is left out.
+last text of each table entry are compared, of ``FIRST`` segments first and then of the others; of entries with more,
+all texts with one of four of them, chosen by hash, in ``STARS`` rounds, and after these all pairs of an entry that are
+still in different groups. So a large group of near copies costs few comparisons, and no meeting is left out.
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
 share a fingerprint and so a component; null ids belong to components but don't name them, unless all ids of a
@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tallyforge.llm.components import components
 from tallyforge.llm.shared import bitmap, in_bitmap, maybe_in, table, written
@@ -49,8 +49,9 @@ SEED = 42
 HOT_BUCKET = 256
 WIDTH = 5
 SIMILARITY = 0.8
-SEGMENTS, SEGMENT_BITS, SOFT = 16, 28, 4
-STARS = 2
+SEGMENTS, SEGMENT_BITS, SOFT = 20, 28, 3
+SOFT_AT = 33  # bit from which on a segment's word has the places of its least certain bits
+FIRST, STARS = 2, 2
 SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SEGMENTS * SEGMENT_BITS // 8, np.int64).astype(np.uint64)
 SKETCH = StructType([StructField("fp", LongType()), StructField("segs", ArrayType(LongType()))])
 NAMES = ["k_null", "k_id", "k_text"]
@@ -142,7 +143,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
 
 
 def segments(hashes: np.ndarray) -> np.ndarray:
-    """The long fingerprint of a set of hashes: for each segment its bits, above them its number, and from bit 32 on the
+    """The long fingerprint of a set of hashes: for each segment its bits, above them its number, and from SOFT_AT on the
     places of its least certain bits."""
     even, sums = np.uint64(0x00FF00FF00FF00FF), np.zeros((2, 4 * len(SALTS)), np.int64)
     for at in range(0, len(hashes), 256):
@@ -154,7 +155,7 @@ def segments(hashes: np.ndarray) -> np.ndarray:
             sums[k] += (mixed >> np.uint64(8 * k) & even).sum(axis=0).view(np.uint16)
     votes = (2 * sums - 255 * len(hashes)).reshape(SEGMENTS, SEGMENT_BITS)
     soft = np.argsort(np.abs(votes), axis=1, kind="stable")[:, :SOFT] << 5 * np.arange(SOFT)
-    return (votes > 0) @ (1 << np.arange(SEGMENT_BITS)) + (np.arange(SEGMENTS) << SEGMENT_BITS) + (soft.sum(axis=1) << 32)
+    return (votes > 0) @ (1 << np.arange(SEGMENT_BITS)) + (np.arange(SEGMENTS) << SEGMENT_BITS) + (soft.sum(axis=1) << SOFT_AT)
 
 
 def _sketched(width: int):
@@ -173,9 +174,11 @@ def _sketched(width: int):
 
 
 def _sets(width: int):
-    @F.arrow_udf(ArrayType(LongType()))
+    """Shingles by 32 bits of their hashes, of which a text has hardly ever two alike."""
+
+    @F.arrow_udf(ArrayType(IntegerType()))
     def sets(texts: pa.Array) -> pa.Array:
-        return pa.array([shingles(t.as_py(), width).view(np.int64) for t in texts], pa.list_(pa.int64()))
+        return pa.array([np.unique((shingles(t.as_py(), width) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in texts], pa.list_(pa.int32()))
 
     return sets
 
@@ -183,8 +186,8 @@ def _sets(width: int):
 def _entries(sketches: DataFrame) -> DataFrame:
     """(key, fp): the entries of each text's segments."""
     each = sketches.select("fp", F.explode("segs").alias("seg")).select("fp", "seg", F.explode(F.array(*[F.lit(j).cast("long") for j in range(1 << SOFT)])).alias("j"))
-    flips = " ^ ".join(f"shiftleft(shiftright(j, {i}) & 1, cast(shiftright(seg, {32 + 5 * i}) & 31 AS int))" for i in range(SOFT))
-    return each.selectExpr(f"(seg & {0xFFFFFFFF}) ^ {flips} AS key", "fp")
+    flips = " ^ ".join(f"shiftleft(shiftright(j, {i}) & 1, cast(shiftright(seg, {SOFT_AT + 5 * i}) & 31 AS int))" for i in range(SOFT))
+    return each.selectExpr(f"(seg & {(1 << SOFT_AT) - 1}) ^ {flips} AS key", "fp")
 
 
 def _entries_in(shared):
@@ -195,9 +198,9 @@ def _entries_in(shared):
         j, out = np.arange(1 << SOFT), []
         for at in range(0, len(segs), 500):
             own = segs.slice(at, 500).flatten().to_numpy(zero_copy_only=False).reshape(-1, SEGMENTS, 1)
-            keys = own & 0xFFFFFFFF
+            keys = own & (1 << SOFT_AT) - 1
             for i in range(SOFT):
-                keys = keys ^ (j >> i & 1) << (own >> 32 + 5 * i & 31)
+                keys = keys ^ (j >> i & 1) << (own >> SOFT_AT + 5 * i & 31)
             keys = keys.reshape(len(own), -1)
             good = in_bitmap(shared.value, keys)
             out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(good.sum(axis=1))), pa.int32()), pa.array(keys[good])))
@@ -220,10 +223,10 @@ class _Verifier:
 
     def __call__(self, pairs: DataFrame) -> DataFrame | None:
         side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
-        apart = F.expr("aggregate(zip_with(s_a, s_b, (x, y) -> bit_count((x ^ y) & 4294967295)), 0, (n, x) -> n + x)")
+        apart = F.expr(f"aggregate(zip_with(s_a, s_b, (x, y) -> bit_count((x ^ y) & {(1 << SOFT_AT) - 1})), 0, (n, x) -> n + x)")
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= self.radius).select("a", "b")
         near = written(near, "simhash-near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+        wanted = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
         wanted = written(self.best.join(wanted if self.sets is None else wanted.join(self.sets, "fp", "left_anti"), "fp"), "simhash-wanted")
         if not wanted.isEmpty():
             met = self.rows.filter(maybe_in(bitmap(wanted, "mark"), F.col("mark"))).join(wanted.drop("mark"), NAMES)
@@ -245,10 +248,19 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
     """``sketches``: rows (fp, segs), one for each text. Rows (node, root) of the texts that are linked to others; None
     if there are no links."""
     ordered = lambda pairs: pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    buckets = _entries(sketches).groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
+    spread = sketches.repartition(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few rows become many
+    buckets = _entries(spread).groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     buckets = written(buckets, "simhash-buckets")
-    links = verify(written(ordered(buckets), "simhash-pairs"))
-    roots = components(links, "simhash-stars") if links else None
+    links = roots = None
+    for segment in (f"key < {FIRST << SEGMENT_BITS}", f"key >= {FIRST << SEGMENT_BITS}"):
+        pairs = ordered(buckets.filter(segment))
+        if roots:
+            side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}"))  # noqa: B023, E731
+            pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter("coalesce(r_a, a) != coalesce(r_b, b)").select("a", "b")
+        found = verify(written(pairs, "simhash-pairs"))
+        if found:
+            links = found if links is None else links.union(found)
+            roots = components(links, "simhash-stars")
     larger = buckets.filter("n > 2").select("key")
     if larger.isEmpty():
         return roots
