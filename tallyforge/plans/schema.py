@@ -38,14 +38,14 @@ MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
 
 #: Normalized header names of each field. The order decides ties between equally near names.
 ALIASES = {
-    "entity_id": "entityid accountid customerid userid acctid custno accountnumber cardid acctno".split(),
-    "timestamp": "timestamp date txndate transactiondate postedat datetime time createdat".split(),
-    "amount": "amount amt transactionamount value txnamount total amtcents".split(),
-    "currency": "currency curr ccy".split(),
-    "category": "category merchantcategory mcc txncategory typecategory".split(),
-    "channel": "channel txnchannel paymentchannel method chnl".split(),
-    "counterparty": "counterparty merchant receiver payee recipient merchantname".split(),
-    "status": "status txnstatus state".split(),
-    "label": "label isfraud fraudflag fraud target class".split(),
-    DIRECTION: "drcr direction debitcredit txntypesign".split(),
+    "entity_id": ["entityid", "accountid", "customerid", "userid", "acctid", "custno", "accountnumber", "cardid", "acctno"],
+    "timestamp": ["timestamp", "date", "txndate", "transactiondate", "postedat", "datetime", "time", "createdat"],
+    "amount": ["amount", "amt", "transactionamount", "value", "txnamount", "total", "amtcents"],
+    "currency": ["currency", "curr", "ccy"],
+    "category": ["category", "merchantcategory", "mcc", "txncategory", "typecategory"],
+    "channel": ["channel", "txnchannel", "paymentchannel", "method", "chnl"],
+    "counterparty": ["counterparty", "merchant", "receiver", "payee", "recipient", "merchantname"],
+    "status": ["status", "txnstatus", "state"],
+    "label": ["label", "isfraud", "fraudflag", "fraud", "target", "class"],
+    DIRECTION: ["drcr", "direction", "debitcredit", "txntypesign"],
 }
