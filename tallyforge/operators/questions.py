@@ -89,7 +89,8 @@ def rendered(sql: str, values: list[Column]) -> Column:
 
 
 def _pick(seed: int, purpose: str, items: Column, *by: str) -> Column:
-    return F.get(items, (portable_hash(F.lit(f"{seed}{purpose}"), *[F.col(b) for b in by]) % F.size(items)).cast("int"))
+    """One of the items, null if there are none."""
+    return F.get(items, F.try_mod(portable_hash(F.lit(f"{seed}{purpose}"), *[F.col(b) for b in by]), F.size(items)).cast("int"))
 
 
 def candidates(df: DataFrame, seed: int = 0, attempts: int = ATTEMPTS) -> DataFrame:
@@ -118,11 +119,13 @@ def candidates(df: DataFrame, seed: int = 0, attempts: int = ATTEMPTS) -> DataFr
 
 
 def answers(df: DataFrame, asked: DataFrame, by: fx.Convention) -> DataFrame:
-    """``asked`` with the answer's text where it is usable, null elsewhere."""
-    rows = fx.spend(df, by)
+    """``asked`` with the answer's text where it is usable, null elsewhere. As in the questions' SQL, a month ends with its
+    last whole second: what lies in the fraction behind it is in no month."""
+    inside = F.col("timestamp") <= fx.month_end("month")
+    rows = fx.spend(df, by).filter(inside)
     cat = fx.by_category(rows)
     month = fx.by_month(rows)
-    listed = fx.with_month(df).groupBy(*fx.KEY, "category").agg(F.count("*").alias("listed_c"))
+    listed = fx.with_month(df).filter(inside).groupBy(*fx.KEY, "category").agg(F.count("*").alias("listed_c"))
     all_listed = listed.groupBy(*fx.KEY).agg(F.sum("listed_c").alias("listed"))
     total = lambda c, name: cat.select(*fx.KEY, F.col("category").alias(c), F.col("total").alias(name))
     row = lambda f, name: f.select(*fx.KEY, F.to_json(F.struct(*[x for x in f.columns if x not in fx.KEY])).alias(name))

@@ -36,6 +36,23 @@ class Outcome:
     fatal_error: str | None = None
 
 
+def prepare_all(spark: SparkSession, sources: dict[str, DataFrame], tasks: list[str], **options) -> tuple[dict[str, Outcome], dict[str, str]]:
+    """``run_pipeline`` on each source: what came of those that could be prepared, and why the others could not."""
+    ready: dict[str, Outcome] = {}
+    skipped: dict[str, str] = {}
+    for name, raw in sources.items():
+        try:
+            out = run_pipeline(spark, raw, name, tasks, **options)
+        except Exception as e:  # noqa: BLE001  one source that fails must not stop the others
+            skipped[name] = str(e)
+            continue
+        if out.fatal_error:
+            skipped[name] = out.fatal_error
+        else:
+            ready[name] = out
+    return ready, skipped
+
+
 def run_pipeline(
     spark: SparkSession, raw: DataFrame, source: str, tasks: list[str], overrides: dict[str, str] | None = None, train_frac: float = split.TRAIN, val_frac: float = split.VAL,
     extra_context_cols: list[str] = (), progress: Callable[[str, float], None] | None = None, spend: str = "auto",

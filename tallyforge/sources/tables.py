@@ -21,24 +21,32 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn("_row_id", F.monotonically_increasing_id())
 
 
-def read_csv_strict(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings; a row with too many or too few fields fails the read."""
-    columns = ", ".join(f"`{c}` string" for c in csv_header(spark, path))
-    return with_row_id(spark.read.csv(path, header=True, schema=columns, mode="FAILFAST", escape='"'))
-
-
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings; short rows are padded with nulls, rows with too many fields and blank rows are skipped.
-
-    One column more than the header has is declared, so that a row which fits or is short is marked as malformed, and
+def _csv(spark: SparkSession, path: str, strict: bool, multi_line: bool) -> DataFrame:
+    """One column more than the header has is declared, so that a row which fits or is short is marked as malformed, and
     one that fills the extra column is too long."""
     names = csv_header(spark, path)
     schema = ", ".join(f"`{c}` string" for c in [*names, OVER, BAD])
-    rows = spark.read.csv(path, header=False, schema=schema, mode="PERMISSIVE", escape='"', columnNameOfCorruptRecord=BAD, enforceSchema=True)
-    kept = with_row_id(rows).filter(F.col(BAD).isNotNull() & F.col(OVER).isNull() & (F.trim(BAD) != ""))
-    header = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"`{c}`") == c, F.lit(False)) for c in names[:1]])
-    first = F.input_file_name().isNotNull() & header & (F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
-    return kept.filter(~first).select(*[F.col(f"`{c}`") for c in names], "_row_id")
+    rows = with_row_id(spark.read.csv(path, header=False, schema=schema, mode="PERMISSIVE", escape='"', columnNameOfCorruptRecord=BAD, enforceSchema=True, multiLine=multi_line))
+    fits = F.col(BAD).isNotNull() & F.col(OVER).isNull() & (F.trim(BAD) != "")
+    if strict:
+        message = F.concat(F.lit("malformed row, too many fields: "), F.concat_ws(",", *[F.col(f"`{c}`") for c in [*names, OVER]]))
+        fits = F.when(F.col(OVER).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(fits)
+    # A header that comes twice has its place behind it in the reader's names.
+    header = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"`{c}`").isin(c, c.removesuffix(str(i))), F.lit(False)) for i, c in enumerate(names)])
+    first = header & (F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
+    return rows.filter(fits).filter(~first).select(*[F.col(f"`{c}`") for c in names], "_row_id")
+
+
+def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns as strings; short rows are padded with nulls, a row with too many fields fails the read. With
+    ``multi_line``, quoted fields may hold line breaks, and a file is read by one task."""
+    return _csv(spark, path, True, multi_line)
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns as strings; short rows are padded with nulls, rows with too many fields and blank rows are skipped.
+    ``multi_line`` as in ``read_csv_strict``."""
+    return _csv(spark, path, False, multi_line)
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -70,8 +78,14 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def write_manifest(manifest: dict, path: str) -> None:
-    with open(path, "w") as f:
-        json.dump(manifest, f, indent=2, default=str)
+    """One JSON file, in any store that Spark can write to."""
+    spark = SparkSession.active()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps(manifest, indent=2, default=str).encode()))
+    finally:
+        out.close()
 
 
 #: What the synthetic merchants sell, and the channels.
