@@ -5,6 +5,8 @@ Transactions come from the driver's tables: ``ev`` from events (unsigned), ``od`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,10 +141,9 @@ def date_dayfirst_vote(spark, d):
     return resolve.date_votes(load(spark, d, "orders").select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("v")))
 
 
-@query("cents_sign_detect", f"""WITH {OD} SELECT avg(CASE WHEN amount % 1 = 0 THEN 1.0 ELSE 0.0 END) AS whole, median(amount) AS middle, count(*) FILTER (WHERE amount < 0) AS negative FROM od""")
+@query("cents_sign_detect", f"""WITH {OD} SELECT avg(CASE WHEN amount % 1 = 0 THEN 1.0 ELSE 0.0 END) AS whole, median(amount) > {resolve.LARGE} AS large, count(*) FILTER (WHERE amount < 0) AS negative FROM od""")
 def cents_sign_detect(spark, d):
-    v = F.col("amount")
-    return od(spark, d).agg(F.avg((v % 1 == 0).cast("double")).alias("whole"), F.median(v).alias("middle"), F.count_if(v < 0).alias("negative"))
+    return resolve.amount_measures(od(spark, d), F.col("amount"))
 
 
 @query("content_profile", """WITH x AS (SELECT 'c_name' AS name, c_name AS v FROM customer UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM customer UNION ALL SELECT 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM customer)
@@ -167,9 +168,37 @@ _RESOLVED = """SELECT * FROM (VALUES ('acct_no', 'entity_id', 0.95, 'exact_alias
 def schema_resolution(spark, d):
     from tallyforge.sources.tables import provider_b
 
-    report = resolve.resolve(provider_b(spark)).report
+    return _report(spark, resolve.resolve(provider_b(spark)))
+
+
+def _report(spark, found: resolve.Resolution) -> DataFrame:
     names = ["source_column", "canonical_field", "confidence", "method", "status"]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in report], "source_column string, canonical_field string, confidence double, method string, status string")
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in found.report], "source_column string, canonical_field string, confidence double, method string, status string")
+
+
+def _oddly_named(spark, d) -> DataFrame:
+    """Orders under a header that is near a known one, two of one field, and three that only contents explain."""
+    return load(spark, d, "orders").select(
+        F.concat(F.lit("C"), "o_orderkey").alias("who"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("TxnDateTime"), F.col("o_totalprice").cast("string").alias("q"),
+        F.col("o_orderpriority").alias("channel"), F.col("o_orderpriority").alias("payment_channel"), F.col("o_orderstatus").alias("remark"),
+    )
+
+
+def _report_sql(*rows: str) -> str:
+    return f"SELECT source_column, canonical_field, CAST(confidence AS DOUBLE) AS confidence, method, status FROM (VALUES {', '.join(rows)}) AS t(source_column, canonical_field, confidence, method, status)"
+
+
+_BY_CONTENT = ["('who', 'entity_id', 0.4, 'content_inference', 'auto_mapped_flagged')", "('TxnDateTime', 'timestamp', 0.63, 'fuzzy_alias', 'auto_mapped_flagged')", "('q', 'amount', 0.5, 'content_inference', 'auto_mapped_flagged')"]
+
+
+@query("schema_resolution_content", _report_sql(*_BY_CONTENT, "('channel', 'channel', 0.95, 'exact_alias', 'auto_mapped')", "('payment_channel', NULL, 0.95, 'exact_alias', 'quarantined_collision')", "('remark', NULL, 0.3, 'content_inference', 'quarantined')"))
+def schema_resolution_content(spark, d):
+    return _report(spark, resolve.resolve(_oddly_named(spark, d)))
+
+
+@query("schema_override", _report_sql(*_BY_CONTENT, "('remark', 'label', 1.0, 'user_provided', 'manual_override')", "('channel', NULL, 0.0, 'superseded_by_override', 'quarantined')", "('payment_channel', 'channel', 1.0, 'user_provided', 'manual_override')"))
+def schema_override(spark, d):
+    return _report(spark, resolve.override(resolve.resolve(_oddly_named(spark, d)), {"channel": "payment_channel", "label": "remark"}))
 
 
 @query("mapping_status_tally", f"SELECT status, count(*) AS n FROM ({_RESOLVED}) GROUP BY status")
@@ -265,7 +294,14 @@ def fraud_context(spark, d):
     return shape.fraud_examples(evs(spark, d)).select("_row_id", F.array_join("context", " ").alias("context"), "output", "split")
 
 
-@query("categorize_examples", f"WITH {EVS} SELECT _row_id, {_ser(False)} AS context, category AS output, split FROM evs")
+@query("fraud_context_unlabelled", f"""WITH {EVS}, s AS (SELECT *, {_ser()} AS text FROM evs), c AS (SELECT *, list(text) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS context FROM s)
+SELECT _row_id, array_to_string(context, ' ') AS context, CASE WHEN label = '1' THEN 'FRAUD' ELSE 'LEGITIMATE' END AS output FROM c WHERE category <> 'view'""")
+def fraud_context_unlabelled(spark, d):
+    rows = evs(spark, d).withColumn("label", F.when(F.col("category") != "view", F.col("label")))
+    return shape.fraud_examples(rows).select("_row_id", F.array_join("context", " ").alias("context"), "output")
+
+
+@query("categorize_examples",f"WITH {EVS} SELECT _row_id, {_ser(False)} AS context, category AS output, split FROM evs")
 def categorize_examples(spark, d):
     return shape.category_examples(evs(spark, d)).select("_row_id", F.array_join("context", " ").alias("context"), "output", "split")
 
@@ -356,23 +392,18 @@ def compare_periods(spark, d):
     return facts.compare_periods(_spend(spark, d), month("1996-03-01"), month("1997-05-01"))
 
 
-@query("list_txns", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od WHERE {MONTH} = TIMESTAMP \'1996-03-01\'')
-def list_txns(spark, d):
-    return facts.listing(od(spark, d)).filter(F.col("month") == F.lit("1996-03-01").cast("timestamp_ntz"))
-
-
-@query("list_txns_category", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od WHERE {MONTH} = TIMESTAMP \'1996-03-01\' AND category LIKE \'1%\'')
-def list_txns_category(spark, d):
-    return facts.listing(od(spark, d), category=True).filter((F.col("month") == F.lit("1996-03-01").cast("timestamp_ntz")) & F.col("category").startswith("1"))
+_LISTED = f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od'
 
 
-@query("list_txns_all", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od')
-def list_txns_all(spark, d):
+@query("list_txns", _LISTED)
+@query("list_txns_all", _LISTED)
+def list_txns(spark, d):
     return facts.listing(od(spark, d))
 
 
-@query("list_txns_category_all", f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od')
-def list_txns_category_all(spark, d):
+@query("list_txns_category", _LISTED)
+@query("list_txns_category_all", _LISTED)
+def list_txns_category(spark, d):
     return facts.listing(od(spark, d), category=True)
 
 
@@ -458,14 +489,30 @@ def question_candidates(spark, d):
     return questions.candidates(nat(spark, d))
 
 
-@query("answer_format", f"""WITH {SP.replace(NAT, CANDIDATES)}, {CAT}, m AS (SELECT entity_id, month, {MONEY.format('paid')} AS total, count(*) AS n FROM sp GROUP BY ALL)
-SELECT q.entity_id, q.attempt, CASE number WHEN 1 THEN {_d2('m.total')} WHEN 2 THEN CAST(m.n AS VARCHAR) WHEN 0 THEN {_d2('a.total')} WHEN 7 THEN q.c || ': ' || {_d2('a.total')} || '; ' || q.d || ': ' || {_d2('b.total')} WHEN 8 THEN 'period 1: ' || {_d2('m.total')} || ', period 2: ' || {_d2('k.total')} END AS reference_answer
-FROM candidates q LEFT JOIN m USING (entity_id, month) LEFT JOIN m k ON k.entity_id = q.entity_id AND k.month = q.month2 LEFT JOIN cat a ON a.entity_id = q.entity_id AND a.month = q.month AND a.category = q.c LEFT JOIN cat b ON b.entity_id = q.entity_id AND b.month = q.month AND b.category = q.d
-WHERE number IN (0, 1, 2, 7, 8)""")
+def _row_sql(t: str) -> str:
+    return f"""'{{"timestamp":"' || strftime({t}."timestamp", '%Y-%m-%dT%H:%M:%S.000') || '","amount":' || CAST({t}.amount AS VARCHAR) || ',"category":"' || {t}.category || '","counterparty":"' || {t}.counterparty || '"}}'"""
+
+
+_ANSWERS = {
+    "spend_by_category": _d2("a.total"), "spend": _d2("m.total"), "count": "CAST(m.n AS VARCHAR)", "mean": _d2("m.mean"),
+    "top_category": """'{"category":"' || t.top_category || '","total":' || CAST(t.top_category_amount AS VARCHAR) || '}'""", "largest": _row_sql("big"), "smallest": _row_sql("small"),
+    "compare_categories": f"q.c || ': ' || {_d2('a.total')} || '; ' || q.d || ': ' || {_d2('b.total')}",
+    "compare_periods": f"'period 1: ' || {_d2('m.total')} || ', period 2: ' || {_d2('k.total')}",
+    "list": "CAST(l.n AS VARCHAR) || ' matching row(s)'", "list_category": "CAST(o.n AS VARCHAR) || ' matching row(s)'",
+}
+_ON = "ON {0}.entity_id = q.entity_id AND {0}.month = q.{1}"
+ANSWERED = f"""{SP.replace(NAT, CANDIDATES)}, {CAT}, {TOP}, big AS ({_extreme_sql('DESC')}), small AS ({_extreme_sql('ASC')}),
+m AS (SELECT entity_id, month, {MONEY.format('paid')} AS total, count(*) AS n, {MONEY.format('paid')} / count(*) AS mean FROM sp GROUP BY ALL),
+o AS (SELECT entity_id, {MONTH} AS month, category, count(*) AS n FROM nat GROUP BY ALL), l AS (SELECT entity_id, month, CAST(sum(n) AS BIGINT) AS n FROM o GROUP BY ALL),
+answered AS (SELECT q.*, CASE q.number {' '.join(f'WHEN {i} THEN {_ANSWERS[t.name]}' for i, t in enumerate(questions.TEMPLATES))} END AS reference_answer
+ FROM candidates q {' '.join(f"LEFT JOIN {x} {_ON.format(x, 'month')}" for x in ('m', 'l', 'big', 'small'))} LEFT JOIN top t {_ON.format('t', 'month')} LEFT JOIN m k {_ON.format('k', 'month2')}
+ LEFT JOIN o {_ON.format('o', 'month')} AND o.category = q.c LEFT JOIN cat a {_ON.format('a', 'month')} AND a.category = q.c LEFT JOIN cat b {_ON.format('b', 'month')} AND b.category = q.d)"""
+
+
+@query("answer_format", f"WITH {ANSWERED} SELECT entity_id, attempt, reference_answer FROM answered")
 def answer_format(spark, d):
     rows = nat(spark, d)
-    asked = questions.candidates(rows).filter(F.col("number").isin(0, 1, 2, 7, 8))
-    return questions.answers(rows, asked, facts.detect(rows)).select("entity_id", "attempt", "reference_answer")
+    return questions.answers(rows, questions.candidates(rows), facts.detect(rows)).select("entity_id", "attempt", "reference_answer")
 
 
 @query("render_literal_sql", f"""WITH {SP} SELECT DISTINCT entity_id, month, 'SELECT SUM(ABS(amount)) FROM transactions WHERE entity_id=''' || entity_id || ''' AND status=''' || top || ''' AND currency=''' || own || ''' AND amount<0 AND timestamp BETWEEN ''' || strftime(month, '%Y-%m-%dT%H:%M:%S') || ''' AND ''' || strftime(month + INTERVAL 1 MONTH - INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S') || '''' AS sql
@@ -481,7 +528,35 @@ def render_literal_sql(spark, d):
     return months.select("entity_id", "month", questions.rendered(sql, [value[n] for n in names]).alias("sql"))
 
 
-@query("nl_sql_examples")
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
+_LAST = "{} + INTERVAL 1 MONTH - INTERVAL 1 SECOND"
+_VALUES = {"entity_id": "entity_id", "status": "top", "currency": "own", "c": "c", "d": "d", "start": _ISO.format("month"), "end": _ISO.format(_LAST.format("month")), "start2": _ISO.format("month2"), "end2": _ISO.format(_LAST.format("month2"))}
+_MARKS = {"{c}": "c", "{d}": "d", "{m}": "strftime(month, '%B %Y')", "{k}": "strftime(month2, '%B %Y')"}
+
+
+def _by_template(f) -> str:
+    return f"CASE number {' '.join(f'WHEN {i} THEN {f(t)}' for i, t in enumerate(questions.TEMPLATES))} END"
+
+
+def _output_sql(t: questions.Template) -> str:
+    sql, names = questions.adapted(t, facts.Convention(True, "any"))
+    pieces = sql.split("?")
+    return " || ".join([_text(pieces[0]), *[x for n, piece in zip(names, pieces[1:]) for x in (f"'''' || replace({_VALUES[n]}, '''', '''''') || ''''", _text(piece))]])
+
+
+def _said_sql(t: questions.Template) -> str:
+    said = lambda v: " || ".join(_MARKS.get(x) or _text(x) for x in re.split(r"(\{[cdmk]\})", v) if x)
+    return f"CASE pick {' '.join(f'WHEN {i} THEN {said(v)}' for i, v in enumerate(t.variants))} END"
+
+
+@query("nl_sql_examples", f"""WITH {ANSWERED}, {CUTS.format('nat')}, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY attempt) AS k FROM answered WHERE reference_answer IS NOT NULL) WHERE k <= {questions.PER_ENTITY}),
+e AS (SELECT kept.*, own, st.top, (variant + {_hash("'0phrase'", 'entity_id', 'CAST(attempt AS VARCHAR)')} % 3) % 3 AS pick FROM kept JOIN cu USING (entity_id), st, (VALUES (0), (1), (2)) AS v(variant))
+SELECT 'query_sql' AS task, entity_id, attempt, {_by_template(_said_sql)} AS instruction, {_by_template(_output_sql)} AS output, reference_answer, {_by_template(lambda t: _text(t.kind))} AS template_kind,
+ {_label('(' + _LAST.format('coalesce(greatest(month, month2), month)') + ')')} AS split, {_by_template(lambda t: _text(questions.adapted(t, facts.Convention(True, 'any'))[0]))} AS _debug_sql_template FROM e, cuts""")
 def nl_sql_examples(spark, d):
     rows = nat(spark, d)
     made = questions.examples(rows, split.cutoffs(rows), facts.detect(rows))
@@ -561,14 +636,13 @@ def _copies_sql(rows: str, scarce: str, need: str) -> str:
 x AS (SELECT _row_id, k, greatest(0, {need}) AS need, s FROM w, z) SELECT _row_id, CAST(0 AS INTEGER) AS copy FROM r UNION ALL SELECT _row_id, CAST(unnest(range(1, 1 + CAST(greatest(0, (need - k + s - 1) // s) AS BIGINT))) AS INTEGER) AS copy FROM x"""
 
 
-@query("oversample_minority", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, category FROM ev WHERE category IN ('error', 'click') AND (category = 'click' OR _row_id % 11 = 0))", "category = 'error'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
-def oversample_minority(spark, d):
-    rows = ev(spark, d).select("_row_id", "category").filter("category IN ('error', 'click') AND (category = 'click' OR _row_id % 11 = 0)")
-    return evaluate.oversample_minority(rows, "category", "error").select("_row_id", "copy")
+_OVERSAMPLED = f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN category = 'error' AND _row_id % 11 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM ev)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s")
 
 
-@query("oversample_minority_all", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN category = 'error' AND _row_id % 11 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM ev)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
-def oversample_minority_all(spark, d):
+@query("oversample_minority", _OVERSAMPLED)
+@query("oversample_minority_all", _OVERSAMPLED)
+def oversample_minority(spark, d):
+    """All events, of which some errors count as the scarce class."""
     rows = ev(spark, d).select("_row_id", F.when((F.col("category") == "error") & (F.col("_row_id") % 11 == 0), "scarce").otherwise("other").alias("kind"))
     return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
 
@@ -607,13 +681,12 @@ def fact_inclusion(spark, d):
     return rows.select("entity_id", "month", evaluate.fact_inclusion(text, F.col).alias("score"))
 
 
-@query("perplexity", f"WITH {EV} SELECT _row_id, round(CASE WHEN amount / 10 < 20 THEN exp(amount / 10) END, 3) AS perplexity FROM ev WHERE amount < 200")
-def perplexity(spark, d):
-    return ev(spark, d).filter("amount < 200").select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
+_PERPLEXITY = f"WITH {EV} SELECT _row_id, CASE WHEN amount / 10 < 20 THEN round(exp(amount / 10), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM ev"
 
 
-@query("perplexity_all", f"WITH {EV} SELECT _row_id, CASE WHEN amount / 10 < 20 THEN round(exp(amount / 10), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM ev")
-def perplexity_all(spark, d):
+@query("perplexity", _PERPLEXITY)
+@query("perplexity_all", _PERPLEXITY)
+def perplexity(spark, d):
     return ev(spark, d).select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
 
 
