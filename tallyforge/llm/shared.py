@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 #: Bits of a bitmap, a prime.
-PLACES = 67_108_859
+PLACES = 33_554_393
 
 #: A word: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -42,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def bitmap(df: DataFrame, column: str):
-    """A broadcast bitmap of PLACES bits (8 MB) in which each value (a long) of ``column`` has its bit set. However many
+    """A broadcast bitmap of PLACES bits (4 MB) in which each value (a long) of ``column`` has its bit set. However many
     values there are, it only spares work: what it lets through must still be looked up exactly."""
     placed = df.select(F.pmod(F.col(column), F.lit(PLACES)).alias("place")).selectExpr("place div 64 AS word", "shiftleft(1L, cast(place % 64 AS int)) AS bit")
     held = placed.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()  # a row for each of PLACES / 64 words at most

@@ -229,9 +229,11 @@ class _Verifier:
         wanted = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
         wanted = written(self.best.join(wanted if self.sets is None else wanted.join(self.sets, "fp", "left_anti"), "fp"), "simhash-wanted")
         if not wanted.isEmpty():
-            met = self.rows.filter(maybe_in(bitmap(wanted, "mark"), F.col("mark"))).join(wanted.drop("mark"), NAMES)
+            marks = bitmap(wanted, "mark")
+            met = self.rows.filter(maybe_in(marks, F.col("mark"))).join(wanted.drop("mark"), NAMES)
             texts = met.groupBy("fp").agg(F.first("text").alias("text"))
             made = written(texts.select("fp", _sets(self.width)(F.col("text")).alias("hashes")), "simhash-sets")
+            marks.destroy()
             self.sets = made if self.sets is None else self.sets.union(made)
         if self.sets is None:
             return None
@@ -264,8 +266,10 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
     larger = buckets.filter("n > 2").select("key")
     if larger.isEmpty():
         return roots
-    members = sketches.select("fp", F.explode(_entries_in(bitmap(larger, "key"))(F.col("segs"))).alias("key")).join(larger, "key")
+    keys = bitmap(larger, "key")
+    members = sketches.select("fp", F.explode(_entries_in(keys)(F.col("segs"))).alias("key")).join(larger, "key")
     members = written(members, "simhash-members")
+    keys.destroy()
     for k in range(STARS + 1):
         root = F.coalesce("root", "fp").alias("root")
         rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", root) if roots else members.select("key", "fp", F.col("fp").alias("root"))
