@@ -21,8 +21,9 @@ bit more in a segment and a tenth more segments keep both.
 
 Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
 last text of each table entry are compared, of ``FIRST`` segments first and then of the others; of entries with more,
-all texts with one of four of them, chosen by hash, in ``STARS`` rounds, and after these all pairs of an entry that are
-still in different groups. So a large group of near copies costs few comparisons, and no meeting is left out.
+one text of each group that has any there with one of these, chosen by hash, in ``STARS`` rounds, and after these all
+pairs of an entry that are still in different groups. So a large group of near copies costs few comparisons, and no
+meeting is left out.
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
 share a fingerprint and so a component; null ids belong to components but don't name them, unless all ids of a
@@ -51,7 +52,7 @@ WIDTH = 5
 SIMILARITY = 0.8
 SEGMENTS, SEGMENT_BITS, SOFT = 20, 28, 3
 SOFT_AT = 33  # bit from which on a segment's word has the places of its least certain bits
-FIRST, STARS = 2, 2
+FIRST, STARS = 2, 1
 SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SEGMENTS * SEGMENT_BITS // 8, np.int64).astype(np.uint64)
 SKETCH = StructType([StructField("fp", LongType()), StructField("segs", ArrayType(LongType()))])
 NAMES = ["k_null", "k_id", "k_text"]
@@ -273,6 +274,8 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
     for k in range(STARS + 1):
         root = F.coalesce("root", "fp").alias("root")
         rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", root) if roots else members.select("key", "fp", F.col("fp").alias("root"))
+        if k < STARS:
+            rooted = rooted.groupBy("key", "root").agg(F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("fp"))
         hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k), F.pmod("key", F.lit(4))))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
         open_ = rooted.join(mixed.select("key", "hub"), "key")

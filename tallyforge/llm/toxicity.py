@@ -146,8 +146,9 @@ class Matcher:
             if len(self.seen) > 300_000:
                 self.seen.clear()
             word = EDGES.sub("", raw)
-            found = self.automaton.match(word) if word else -1
-            if found > 0 and word in self.plain:
+            bare = word.rstrip("*$")  # as letters at a word's end they'd each be an edit
+            found = min((e for e in map(self.automaton.match, {word, bare} - {""}) if e >= 0), default=-1)
+            if found > 0 and not self.plain.isdisjoint((word, bare)):
                 found = -1
             self.seen[raw] = found
         return found
@@ -226,15 +227,19 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[s
     good = rated.filter((F.col("pos") >= MIN_DOCS) & (F.col("marks") >= MIN_CONTEXTS) & (lift >= MIN_LIFT))
     rows = good.orderBy(F.desc("pos"), "size", "term").limit(MAX_TERMS * 10).collect()
     found = {(r["size"], r["term"]): r["pos"] for r in rows}
-    # The longest stem that loses no document, and no stem within another.
-    stems: list[str] = []
-    for n in PREFIXES:
-        for (size, term), docs in found.items():
-            longer = any(found.get((n + 1, t), 0) >= docs for s, t in found if s == n + 1 and t[:n] == term)
-            if size == n and not longer and not any(term.startswith(s) for s in stems):
-                stems.append(term)
-    words = [t for (size, t), _ in found.items() if size == 0 and not any(t.startswith(s) for s in stems)]
-    return words[:MAX_TERMS], stems[:MAX_TERMS]
+    # The longest stem that loses no document, and no stem within another. ``beyond``: of stems one letter longer, the most
+    # documents.
+    beyond: dict[str, int] = {}
+    for (size, term), docs in found.items():
+        if size:
+            beyond[term[:-1]] = max(docs, beyond.get(term[:-1], 0))
+    stems: dict[str, None] = {}
+    starts = lambda term: any(term[:n] in stems for n in PREFIXES)
+    for (size, term), docs in sorted(found.items(), key=lambda x: x[0][0]):
+        if size and beyond.get(term, 0) < docs and not starts(term):
+            stems[term] = None
+    words = [t for size, t in found if size == 0 and not starts(t)]
+    return words[:MAX_TERMS], list(stems)[:MAX_TERMS]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -289,7 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_pydict({"word": pa.array(sorted(found), pa.string())})
 
     used = sample.filter("toxic = 0").mapInArrow(near, "word string").distinct()
-    plain = {r["word"] for r in used.limit(MAX_TERMS * 50).collect()}
+    plain = {r["word"] for r in used.collect()}  # words near a term, of MAX_CLEAN documents
     model = spark.sparkContext.broadcast(Model(words, stems, plain, np.zeros(4)))
 
     def measure(batches):

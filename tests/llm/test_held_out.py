@@ -3,11 +3,15 @@
 import hashlib
 import os
 import random
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyforge.llm import mixing, secrets, warc
+from tallyforge.llm import langid, mixing, quality, secrets, sharding, toxicity, warc
+from tallyforge.llm.shared import table
 
 DATA = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
@@ -108,3 +112,92 @@ def test_rates_against_plain_least_squares(spark, share):
     for s in steps:
         rates = np.maximum(0, rates - p @ np.array(s))
     assert np.allclose((tokens * rates) @ p, there, rtol=1e-6)
+
+
+def test_toxic_words_with_trailing_signs():
+    m = toxicity.Matcher(["worthless", "scum"], [], {"worthier"})
+    assert [m.hit(w) for w in ("scum***", "scum$$", "worthless**!", "worthles", "worthier", "***")] == [0, 0, 0, 1, -1, -1]
+
+
+def test_lexicon_against_a_plain_choice(spark):
+    """Words and stems are those that a plain count over all rows chooses."""
+    r = random.Random(24)
+    bad, plain = ["vileness", "vilest", "vilely", "grubby", "scum"], [f"word{chr(97 + i)}{chr(97 + i % 7)}" for i in range(20)]
+    rows = [(" ".join(r.sample(plain, 8) + ([r.choice(bad)] if i % 2 else [])), i % 2) for i in range(240)]
+    words, stems = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), 120, 120)
+    assert set(words) | set(stems) and not any(w.startswith(s) for w in words for s in stems)
+    for term in [*words, *stems]:
+        has = lambda t: any(w == term if term in words else w.startswith(term) and w != term for w in t.split())  # noqa: B023, E731
+        pos, neg = (sum(has(t) for t, y in rows if y == k) for k in (1, 0))
+        assert pos >= toxicity.MIN_DOCS and (pos / 120) / ((neg + 0.5) / 120) >= toxicity.MIN_LIFT
+    hit = lambda w: w in words or any(w.startswith(s) for s in stems)
+    assert all(hit(b) for b in bad) and not any(hit(p) for p in plain)
+
+
+def test_interleaving_against_a_plain_order(spark):
+    """Places are those of a plain sort by fractional rank."""
+    rows = [(i, f"s{0 if i % 3 else i % 5}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, source string")
+    got = sharding.assign_shards(df, F.col("source"), F.xxhash64("id"), 7).collect()
+    keys = {x["id"]: x["k"] for x in df.select("id", F.xxhash64("id").alias("k")).collect()}
+    ties = {x["source"]: x["t"] for x in df.select("source").distinct().select("source", F.xxhash64(F.lit(sharding.SEED), F.concat(F.lit("="), "source")).alias("t")).collect()}
+    order = []
+    for s in {s for _, s in rows}:
+        own = sorted((keys[i], i) for i, t in rows if t == s)
+        order += [((k + 0.5) / len(own), ties[s], s, key, i) for k, (key, i) in enumerate(own)]
+    order.sort()
+    place = {i: n for n, (*_, i) in enumerate(order)}
+    for x in got:
+        shard = place[x["id"]] * 7 // 200
+        assert x["shard"] == shard and x["slot"] == place[x["id"]] - -(-shard * 200 // 7)
+
+
+def test_bloom_counts_against_exact_sets(spark):
+    """Predictions by the filters are those by exact sets of each language's trigrams."""
+    docs = table(spark, DATA, "documents").filter("lang IS NOT NULL AND text IS NOT NULL")
+    model = langid.train(docs)
+    rows = docs.select("lang", "text").collect()
+    counts = {n: Counter() for n in model.names}
+    for x in rows:
+        counts[x["lang"]].update(langid.trigrams(x["text"]).tolist())
+    rates = {n: {g: k / sum(c.values()) for g, k in c.items()} for n, c in counts.items()}
+    peak = {}
+    for c in rates.values():
+        for g, v in c.items():
+            peak[g] = max(v, peak.get(g, 0))
+    sets = {n: {g for g, v in c.items() if v >= langid.MIN_RATE and v >= langid.MIN_SHARE * peak[g]} for n, c in rates.items()}
+    same = close = n = 0
+    for x in rows[::3]:
+        grams = langid.trigrams(x["text"]).tolist()
+        if not grams:
+            continue
+        best = max(model.names, key=lambda name: sum(g in sets[name] for g in grams))
+        lang, score = model.predict(x["text"])
+        n, same, close = n + 1, same + (lang == best), close + (abs(score - sum(g in sets[best] for g in grams) / len(grams)) < 0.05)
+    assert n > 100 and same >= 0.99 * n and close >= 0.95 * n
+
+
+def test_kept_against_plain_ratios(spark):
+    """``kept`` and the failed rules from ratios worked out in Python."""
+    import re
+
+    docs = table(spark, DATA, "documents")
+    got = {x["doc_id"]: x for x in quality.judged(docs).collect()}
+    for doc in docs.select("doc_id", "text").collect():
+        t, x = doc["text"] or "", got[doc["doc_id"]]
+        words, lines = re.findall(r"[^\x20\x09-\x0D]+", t), [y for y in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", y)]
+        part = lambda a, b: a / b if b else 0.0
+        letters = sum(unicodedata.category(c)[0] == "L" for c in t)
+        ratios = {
+            "mean_word_length": part(sum(map(len, words)), len(words)),
+            "symbol_ratio": part(sum(c in quality.SYMBOLS for c in t), len(words)),
+            "letter_word_ratio": part(sum(any(unicodedata.category(c)[0] == "L" for c in w) for w in words), len(words)),
+            "stop_word_ratio": part(sum(w.lower() in quality.STOP_WORDS for w in words), len(words)),
+            "upper_case_ratio": part(sum(unicodedata.category(c) == "Lu" for c in t), letters),
+            "shout_ratio": part(sum(w.endswith("!!") for w in words), len(words)),
+            "dup_line_ratio": part(len(lines) - len(set(lines)), len(lines)),
+            "ellipsis_line_ratio": part(sum(bool(re.search(r"(\.\.\.|…)[\x20\x09-\x0D]*$", y)) for y in lines), len(lines)),
+            "bullet_line_ratio": part(sum(bool(re.search(r"^[\x20\x09-\x0D]*[•●*-][\x20\x09-\x0D]", y)) for y in lines), len(lines)),
+        }
+        failed = [n for n, least, most in quality.THRESHOLDS if least is not None and ratios[n] < least or most is not None and ratios[n] > most]
+        assert x["failed"] == failed and x["kept"] == (not failed and not x["base_failed"])
