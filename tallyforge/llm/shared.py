@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -19,13 +20,19 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or the folder set by
-    ``setCheckpointDir``. A folder of one machine would not do, so there must be one of the two."""
+    ``setCheckpointDir``. Where neither is set, a session on one machine gets a temporary folder of its own, and one on a
+    cluster an error, as its executors wouldn't see each other's files there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if not known.isDefined():
+        if known.isDefined():
+            folder = known.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            folder = "file://" + tempfile.mkdtemp(prefix="spark-tallyforge-")
+            spark.sparkContext.setCheckpointDir(folder)
+            folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+        else:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = known.get()
     return folder.rstrip("/")
 
 
