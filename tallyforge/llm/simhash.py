@@ -22,8 +22,9 @@ bit more in a segment and a tenth more segments keep both.
 Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
 last text of each table entry are compared, of ``FIRST`` segments first and then of the others; of entries with more,
 one text of each group that has any there with one of these, chosen by hash, in ``STARS`` rounds, and after these all
-pairs of an entry that are still in different groups. So a large group of near copies costs few comparisons, and no
-meeting is left out.
+pairs of an entry that are still in different groups and can be similar: a text of which too few shingles are in any other
+such text is similar to none, so it is left out before there are pairs. So a large group of near copies costs few
+comparisons, and no link that can be is left out.
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
 share a fingerprint and so a component; null ids belong to components but don't name them, unless all ids of a
@@ -222,13 +223,10 @@ class _Verifier:
         self.radius = int(n * share + 5 * np.sqrt(n * share * (1 - share)))
         self.sets: DataFrame | None = None
 
-    def __call__(self, pairs: DataFrame) -> DataFrame | None:
-        side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
-        apart = F.expr(f"aggregate(zip_with(s_a, s_b, (x, y) -> bit_count((x ^ y) & {(1 << SOFT_AT) - 1})), 0, (n, x) -> n + x)")
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= self.radius).select("a", "b")
-        near = written(near, "simhash-near")
-        wanted = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
-        wanted = written(self.best.join(wanted if self.sets is None else wanted.join(self.sets, "fp", "left_anti"), "fp"), "simhash-wanted")
+    def make(self, fps: DataFrame) -> None:
+        """Make the shingles of those texts that have none yet."""
+        wanted = fps if self.sets is None else fps.join(self.sets, "fp", "left_anti")
+        wanted = written(self.best.join(wanted, "fp"), "simhash-wanted")
         if not wanted.isEmpty():
             marks = bitmap(wanted, "mark")
             met = self.rows.filter(maybe_in(marks, F.col("mark"))).join(wanted.drop("mark"), NAMES)
@@ -236,6 +234,25 @@ class _Verifier:
             made = written(texts.select("fp", _sets(self.width)(F.col("text")).alias("hashes")), "simhash-sets")
             marks.destroy()
             self.sets = made if self.sets is None else self.sets.union(made)
+
+    def common(self, fps: DataFrame) -> DataFrame:
+        """Rows (fp, n, c): the number of a text's shingles, and of those that any other of ``fps`` has too."""
+        self.make(fps)
+        own = self.sets.join(fps, "fp", "left_semi")
+        met = own.select("fp", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("texts"), F.min("fp").alias("fp"))
+        alone = met.filter("texts = 1").groupBy("fp").agg(F.count("*").alias("alone"))
+        return own.select("fp", F.size("hashes").alias("n")).join(alone, "fp", "left").selectExpr("fp", "n", "n - coalesce(alone, 0) AS c")
+
+    def can_be(self, c: str, n_a: str, n_b: str) -> Column:
+        """Whether two texts of so many shingles can be similar that share ``c`` at most."""
+        return F.expr(f"{c} >= {self.similarity} * ({n_a} + greatest({c}, {n_b}) - {c})")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame | None:
+        side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
+        apart = F.expr(f"aggregate(zip_with(s_a, s_b, (x, y) -> bit_count((x ^ y) & {(1 << SOFT_AT) - 1})), 0, (n, x) -> n + x)")
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= self.radius).select("a", "b")
+        near = written(near, "simhash-near")
+        self.make(near.select(F.col("a").alias("fp")).union(near.select("b")).distinct())
         if self.sets is None:
             return None
         side = lambda c: self.sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"h_{c}"))
@@ -283,9 +300,14 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
             pairs = open_.filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
         else:  # every pair has a side outside the entry's largest group
             open_ = written(open_.select("key", "fp", "root"), "simhash-open")
-            main = open_.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-            rest = open_.join(main, "key").filter("root != main").select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"))
-            pairs = rest.join(open_.withColumnRenamed("fp", "b"), "key").filter("root_a != root").select("a", "b")
+            open_ = written(open_.join(verify.common(open_.select("fp").distinct()), "fp"), "simhash-open")
+            sizes = open_.groupBy("key", "root").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
+            main = sizes.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.min("least").alias("least"))
+            # A text that shares too few shingles with all others together is similar to none.
+            rest = open_.join(main, "key").filter("root != main").filter(verify.can_be("c", "n", "least"))
+            rest = rest.select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+            both = rest.join(open_.withColumnRenamed("fp", "b"), "key").filter("root_a != root")
+            pairs = both.filter(verify.can_be("least(c, c_a)", "n_a", "n")).select("a", "b")
         pairs = written(ordered(pairs), "simhash-pairs")
         if pairs.isEmpty():
             break
