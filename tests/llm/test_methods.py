@@ -386,3 +386,29 @@ def test_pipeline(spark, docs):
     assert Counter(r["doc_id"] for r in fourth.collect()) == Counter({d: n for d, n in rates.items() if n})
     assert stages["shard"](spark, fourth, DATA).count() == fourth.count()
     assert all(s.columns == docs.columns for s in (first, second, third, fourth))
+
+
+def test_last_pairs_of_near_copies(spark):
+    """A group of near copies beside texts that share its entries but are similar to none, against all pairs."""
+    r = random.Random(8)
+    base = [f"w{r.randrange(5000)}" for _ in range(150)]
+
+    def edited(n):
+        words = list(base)
+        for i in r.sample(range(150), n):
+            words[i] = f"x{r.randrange(10**9)}"
+        return " ".join(words)
+
+    texts = [edited(r.choice([1, 1, 2])) for _ in range(150)] + [edited(r.choice([6, 7, 8])) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    similar = lambda a, b: 10 * len(a & b) >= 8 * len(a | b)
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if similar(sets[a], sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    kept = {x["doc_id"] for x in simhash.keep_one(docs).collect()}
+    assert 1 < len(set(group)) < 150
+    assert kept == set(group)
