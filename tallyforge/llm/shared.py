@@ -48,6 +48,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_at(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """As ``written``, with the path for ``deleted``."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that no later job reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def bitmap(df: DataFrame, column: str):
     """A broadcast bitmap of PLACES bits (4 MB) in which each value (a long) of ``column`` has its bit set. However many
     values there are, it only spares work: what it lets through must still be looked up exactly."""
