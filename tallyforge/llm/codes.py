@@ -40,9 +40,9 @@ LARGEST = 1 << 24
 SLACK = 1e-6
 
 
-def scaled(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component as long; null unless all components are finite numbers."""
-    x = F.transform(vector, lambda v: F.floor(F.least(F.greatest(v.cast("double") * scale, F.lit(-float(LARGEST))), F.lit(float(LARGEST)))))
+def scaled(vector: Column, scale: int, largest: int = LARGEST) -> Column:
+    """floor(scale * x) of each component as long, held within +-largest; null unless all components are finite numbers."""
+    x = F.transform(vector, lambda v: F.floor(F.least(F.greatest(v.cast("double") * scale, F.lit(-float(largest))), F.lit(float(largest)))))
     fine = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
     return F.when(fine, x)
 

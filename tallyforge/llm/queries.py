@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import codes, decontaminate, langid, lm, mixing, quality, secrets, sharding, simhash, toxicity, urls, warc
+from tallyforge.llm import codes, decontaminate, langid, lm, mixing, negatives, quality, secrets, sharding, simhash, toxicity, urls, warc
 
 
 def queries():
@@ -17,10 +17,11 @@ def queries():
         "op8_warc_roundtrip": warc.op8,
         "op9_lm_mixing": lm.op9,
         "op10_shard_interleave": sharding.op10,
+        "op11_hard_negatives": negatives.op11,
         "op12_vector_codes": codes.op12,
         "op13_url_filter": urls.op13,
     }
 
 
 def oracle_sql():
-    return {"op8_warc_roundtrip": warc.ORACLE_SQL, "op12_vector_codes": codes.ORACLE_SQL, "op13_url_filter": urls.ORACLE_SQL}
+    return {"op8_warc_roundtrip": warc.ORACLE_SQL, "op11_hard_negatives": negatives.ORACLE_SQL, "op12_vector_codes": codes.ORACLE_SQL, "op13_url_filter": urls.ORACLE_SQL}
