@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import parsing
 from tallyforge.operators import clean, evaluate, facts, narrate, questions, resolve, sanity, shape, split
-from tallyforge.plans.schema import SALT
+from tallyforge.plans.schema import AUTO_INDEX, SALT
+from tallyforge.sources import csvfile, tables
+from tallyforge.sources.scratch import new_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -166,9 +168,7 @@ _RESOLVED = """SELECT * FROM (VALUES ('acct_no', 'entity_id', 0.95, 'exact_alias
 
 @query("schema_resolution", _RESOLVED.replace("0.95", "CAST(0.95 AS DOUBLE)"))
 def schema_resolution(spark, d):
-    from tallyforge.sources.tables import provider_b
-
-    return _report(spark, resolve.resolve(provider_b(spark)))
+    return _report(spark, resolve.resolve(tables.provider_b(spark)))
 
 
 def _report(spark, found: resolve.Resolution) -> DataFrame:
@@ -206,6 +206,53 @@ def mapping_status_tally(spark, d):
     return resolve.status_tally(schema_resolution(spark, d))
 
 
+# Reading
+
+
+#: Rows of a file that ``_as_csv`` writes.
+_FILE_ROWS = 20_000
+
+
+def _as_csv(spark, d) -> str:
+    """Orders as CSV files of up to _FILE_ROWS keys, and their folder: notes with commas, quotes and line breaks, every 11th row
+    with a field too many, every 13th without its note, every 17th behind a blank line."""
+    key = F.col("o_orderkey")
+    said = F.concat(F.lit("\"said \"\""), F.col("o_orderpriority"), F.lit("\"\", then\n\nleft\""))
+    note = F.when(key % 3 == 0, said).when(key % 3 == 1, F.lit("5\" wide")).otherwise(F.concat(F.lit("\"a, b: "), F.col("o_orderstatus"), F.lit("\"")))
+    fields = F.concat_ws(",", key.cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.when(key % 13 != 0, note), F.when((key % 11 == 0) & (key % 13 != 0), F.lit("more")))
+    line = F.concat(F.when(key % 17 == 0, F.lit("\n")).otherwise(F.lit("")), fields)
+    bucket = F.format_string("%012d", F.floor(key / _FILE_ROWS))
+    files = load(spark, d, "orders").groupBy(bucket.alias("bucket")).agg(F.array_sort(F.collect_list(F.struct(key, line.alias("line")))).alias("all"))
+    text = F.concat(F.lit("txn,date,amount,note\n"), F.array_join(F.transform("all", lambda x: x["line"]), "\n"))
+    path = new_path(spark, "csv")
+    files.select("bucket", text.alias("value")).write.partitionBy("bucket").text(path)
+    return path
+
+
+_CSV = """c AS (SELECT o_orderkey AS k, o_orderkey % 11 = 0 AND o_orderkey % 13 <> 0 AS long, strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+ CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'said "' || o_orderpriority || '", then' || chr(10) || chr(10) || 'left' WHEN o_orderkey % 3 = 1 THEN '5" wide' ELSE 'a, b: ' || o_orderstatus END AS note FROM orders),
+csv AS (SELECT *, row_number() OVER (ORDER BY k) - 1 AS _row_id FROM c WHERE NOT long)"""
+
+
+@query("csv_read", f"WITH {_CSV} SELECT CAST(k AS VARCHAR) AS txn, date, amount, note, _row_id FROM csv")
+def csv_read(spark, d):
+    return tables.read_csv(spark, _as_csv(spark, d))
+
+
+@query("csv_malformed", f"WITH {_CSV} SELECT count(*) FILTER (WHERE NOT long) AS n, count(*) FILTER (WHERE long) AS skipped FROM c")
+def csv_malformed(spark, d):
+    found = csvfile.read(spark, _as_csv(spark, d))
+    return found.df.agg(F.count("*").alias("n"), F.lit(found.skipped).cast("long").alias("skipped"))
+
+
+@query("auto_index_ids", f"WITH {_CSV} SELECT k AS txn, printf('ROW_%06d', _row_id) AS entity_id FROM csv")
+def auto_index_ids(spark, d):
+    raw = tables.read_csv(spark, _as_csv(spark, d))
+    found = resolve.override(resolve.Resolution([], {"date": "timestamp", "amount": "amount"}, ["txn", "note"]), {"entity_id": AUTO_INDEX})
+    mapped = clean.to_canonical(raw, found, resolve.Conventions(day_first=False), ["txn"])
+    return mapped.select(F.col("extra__txn").cast("long").alias("txn"), "entity_id")
+
+
 # Cleaning
 
 

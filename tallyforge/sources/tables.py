@@ -4,49 +4,42 @@ from __future__ import annotations
 
 import json
 import re
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BAD, OVER = "_corrupt_record", "_overflow"
+from tallyforge.sources import csvfile
 
+def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as strings; short rows are padded with nulls, a row with too many fields fails the read. Quoted fields
+    may hold line breaks (so ``multi_line`` makes no difference); files are read in parts all the same. ``_row_id`` numbers
+    the rows from 0."""
+    return csvfile.read(spark, path, strict=True).df
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """As ``read_csv_strict``, but rows with too many fields are skipped."""
+    return csvfile.read(spark, path).df
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """``_row_id`` grows in the order of files and lines; it has gaps."""
-    return df.withColumn("_row_id", F.monotonically_increasing_id())
 
-
-def _csv(spark: SparkSession, path: str, strict: bool, multi_line: bool) -> DataFrame:
-    """One column more than the header has is declared, so that a row which fits or is short is marked as malformed, and
-    one that fills the extra column is too long."""
-    names = csv_header(spark, path)
-    schema = ", ".join(f"`{c}` string" for c in [*names, OVER, BAD])
-    rows = with_row_id(spark.read.csv(path, header=False, schema=schema, mode="PERMISSIVE", escape='"', columnNameOfCorruptRecord=BAD, enforceSchema=True, multiLine=multi_line))
-    fits = F.col(BAD).isNotNull() & F.col(OVER).isNull() & (F.trim(BAD) != "")
-    if strict:
-        message = F.concat(F.lit("malformed row, too many fields: "), F.concat_ws(",", *[F.col(f"`{c}`") for c in [*names, OVER]]))
-        fits = F.when(F.col(OVER).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(fits)
-    # A header that comes twice has its place behind it in the reader's names.
-    header = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"`{c}`").isin(c, c.removesuffix(str(i))), F.lit(False)) for i, c in enumerate(names)])
-    first = header & (F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
-    return rows.filter(fits).filter(~first).select(*[F.col(f"`{c}`") for c in names], "_row_id")
-
-
-def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as strings; short rows are padded with nulls, a row with too many fields fails the read. With
-    ``multi_line``, quoted fields may hold line breaks, and a file is read by one task."""
-    return _csv(spark, path, True, multi_line)
-
-
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as strings; short rows are padded with nulls, rows with too many fields and blank rows are skipped.
-    ``multi_line`` as in ``read_csv_strict``."""
-    return _csv(spark, path, False, multi_line)
+def numbered(df: DataFrame, name: str = "_row_id") -> DataFrame:
+    """``df`` with dense numbers from 0. Rows of Parquet files are numbered by file name and place in the file, whatever the
+    partitions. Other relations are numbered in the order of their partitions; each
+    must give the same rows whenever it is computed."""
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+        sizes = placed.groupBy("_file").agg((F.max("_place") + 1).alias("_n"))
+        plain = df.columns == [c for c in placed.columns if c not in ("_file", "_place")] and placed.agg(F.count("*").alias("n")).first()["n"] == (sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0)
+    except AnalysisException:
+        plain = False
+    if not plain:  # no file, or rows were filtered
+        placed = df.select("*", F.spark_partition_id().alias("_file"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+        sizes = placed.groupBy("_file").agg(F.count("*").alias("_n"))
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_file").withColumn(name, F.col("_place") + F.col("_start")).select(*df.columns, name)
 
 
 def has_rows(df: DataFrame) -> bool:
