@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.operators import sqlpairs
 from tallyforge.operators.narrate import whole
 from tallyforge.operators.shape import decimals
+from tallyforge.operators.sqlpairs import same_rows  # noqa: F401
 
 GOOD, WEAK = 0.15, 0.03
 BUCKETS = 1024
@@ -142,67 +142,9 @@ def fact_inclusion(text: Column, f) -> Column:
     return F.try_divide(F.size(F.filter(given, lambda x: x)).cast("double"), F.size(given))
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, which is sorted, with ``place``, numbered by partitions whose sizes are then summed up. What is
-    returned reads the persisted ``df``."""
-    part, local = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = df.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    placed = df.withColumn("_part", part).withColumn("_local", local).join(F.broadcast(starts), "_part")
-    return placed.withColumn("place", F.col("_local") + F.col("_start")).drop("_at", "_part", "_local", "_start")
-
-
-def _same_order(a: DataFrame, b: DataFrame) -> bool:
-    """Whether two results have equal rows in equal order, however many."""
-    if len(a.columns) != len(b.columns):
-        return a.isEmpty() and b.isEmpty()
-    if any((x == "string") != (y == "string") for (_, x), (_, y) in zip(a.dtypes, b.dtypes)):
-        return a.isEmpty() and b.isEmpty()
-    held = [d.toDF(*[f"c{i}" for i in range(len(d.columns))]).withColumn("_at", F.monotonically_increasing_id()).persist() for d in (a, b)]
-    try:
-        a, b = map(_numbered, held)
-        return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    except Exception:  # noqa: BLE001  columns that can't be compared
-        return False
-    finally:
-        for d in held:
-            d.unpersist()
-
-
-def _orders(sql: str) -> bool:
-    """Whether a query orders its rows; what stands in quotes or in brackets doesn't count."""
-    text = re.sub(r"'[^']*'", "", sql)
-    while (outer := re.sub(r"\([^()]*\)", " ", text)) != text:
-        text = outer
-    return bool(re.search(r"\border\s+by\b", text, re.IGNORECASE))
-
-
 def query_rates(spark, pairs: DataFrame) -> dict[str, float | int]:
-    """Of the pairs (generated, reference) of a table: how many, and the shares that are executable and correct. Each pair
-    is two jobs over the registered views, one pair after the other; pairs reach the driver a partition at a time."""
-    n = executable = correct = 0
-    for row in pairs.select("generated", "reference").toLocalIterator():
-        ran, same = same_rows(spark, row["generated"] or "", row["reference"] or "")
-        n, executable, correct = n + 1, executable + ran, correct + same
-    return {"n": n, "executable_rate": executable / n if n else 0.0, "correct_rate": correct / n if n else 0.0}
-
-
-def same_rows(spark, generated: str, reference: str) -> tuple[bool, bool]:
-    """(executable, correct) of a generated query: run both, compare rows in order if the reference orders them and
-    as multisets if not."""
-    from tallyforge.operators.questions import run_query
-
-    mine, right = run_query(spark, generated), run_query(spark, reference)
-    if not mine.ok or not right.ok:
-        return mine.ok, False
-    if _orders(reference):
-        return True, _same_order(mine.df, right.df)
-    if len(mine.df.columns) != len(right.df.columns):
-        return True, False
-    try:
-        return True, mine.df.exceptAll(right.df).isEmpty() and right.df.exceptAll(mine.df).isEmpty()
-    except Exception:  # noqa: BLE001  columns that can't be compared
-        return True, False
+    """Of the pairs (generated, reference) of a table: how many, and the shares that are executable and correct."""
+    return sqlpairs.rates(spark, pairs).summary().first().asDict()
 
 
 def comparison(parts: list[tuple[str, str, DataFrame]]) -> DataFrame:

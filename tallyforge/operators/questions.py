@@ -199,16 +199,20 @@ class QueryResult:
 
 def run_query(spark: SparkSession, sql: str, params: list | None = None) -> QueryResult:
     """Run SQL over the registered views; an error, of analysis or of execution, is part of the result. Question marks
-    become named parameters, as the engine doesn't number those of subqueries by their place in the text."""
+    become named parameters, as the engine doesn't number those of subqueries by their place in the text. The rows are
+    persisted, so that reading them doesn't run the query again; ``df.unpersist()`` lets them go."""
+    df = None
     try:
         pieces = sql.split("?") if params else [sql]
         if params and len(pieces) - 1 != len(params):
             raise ValueError(f"{len(pieces) - 1} placeholders, {len(params)} values")
         named = pieces[0] + "".join(f":p{i}{piece}" for i, piece in enumerate(pieces[1:]))
-        df = spark.sql(named, args={f"p{i}": v for i, v in enumerate(params or [])})
+        df = spark.sql(named, args={f"p{i}": v for i, v in enumerate(params or [])}).persist()
         df.write.format("noop").mode("overwrite").save()
         return QueryResult(True, df)
     except Exception as e:  # noqa: BLE001  whatever the query raises is its result
+        if df is not None:
+            df.unpersist()
         return QueryResult(False, error=str(e))
 
 

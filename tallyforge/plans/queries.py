@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import parsing
-from tallyforge.operators import clean, evaluate, facts, narrate, questions, resolve, sanity, shape, split
+from tallyforge.operators import clean, evaluate, facts, narrate, questions, resolve, sanity, shape, split, sqlpairs
 from tallyforge.plans.schema import AUTO_INDEX, SALT
 from tallyforge.sources import csvfile, tables
-from tallyforge.sources.scratch import new_path
+from tallyforge.sources.scratch import kept, new_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -705,6 +705,42 @@ def class_weights(spark, d):
     return evaluate.class_weights(ev(spark, d).select(F.col("category").alias("output"))).select("output", "n", F.round("weight", 6).alias("weight"))
 
 
+#: Ways in which the pairs below differ from their reference.
+_CHANGES = ["spelling", "condition", "entity", "table", "order"]
+
+
+def _sql_pairs(rows: DataFrame, cuts: DataFrame, by: facts.Convention) -> DataFrame:
+    """Each question's SQL and a changed copy: spelt otherwise, with a condition more that holds anyway, for an entity that
+    doesn't exist, of a table that doesn't exist, or (lists only) in descending order."""
+    made = questions.examples(rows, cuts, by, variants=1)
+    change = (parsing.portable_hash(F.lit("change"), F.col("entity_id"), F.col("attempt")) % len(_CHANGES)).cast("int")
+    text = F.col("output")
+    changed = [
+        F.concat(F.replace(text, F.lit("SELECT"), F.lit("select")), F.lit(" ;")), F.replace(text, F.lit("entity_id="), F.lit("entity_id IS NOT NULL AND entity_id=")),
+        F.replace(text, F.lit("entity_id='"), F.lit("entity_id='no")), F.replace(text, F.lit("FROM transactions"), F.lit("FROM transaction")), F.replace(text, F.lit("ORDER BY timestamp"), F.lit("ORDER BY timestamp DESC")),
+    ]
+    generated = F.coalesce(*[F.when(change == i, c) for i, c in enumerate(changed)])
+    return made.select("entity_id", "attempt", "template_kind", F.get(F.array(*map(F.lit, _CHANGES)), change).alias("change"), generated.alias("generated"), text.alias("reference"))
+
+
+_PAIRS = re.sub(r"\bnat\b", "od", f"""WITH {ANSWERED}, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY attempt) AS k FROM answered WHERE reference_answer IS NOT NULL) WHERE k <= {questions.PER_ENTITY}),
+g AS (SELECT *, {_by_template(lambda t: _text(t.kind))} AS template_kind, {_by_template(lambda t: _text(t.name))} AS name, {_hash("'change'", 'entity_id', 'CAST(attempt AS VARCHAR)')} % {len(_CHANGES)} AS change FROM kept),
+w AS (SELECT entity_id, {MONTH} AS month, category, "timestamp" AS ts FROM nat), w1 AS (SELECT entity_id, month, count(DISTINCT ts) AS n FROM w GROUP BY ALL), w2 AS (SELECT entity_id, month, category AS c, count(DISTINCT ts) AS n FROM w GROUP BY ALL),
+h AS (SELECT g.*, change <> 3 AS executable, CASE WHEN change IN (2, 3) THEN false WHEN change = 4 AND name = 'list' THEN w1.n = 1 WHEN change = 4 AND name = 'list_category' THEN w2.n = 1 ELSE true END AS correct
+ FROM g LEFT JOIN w1 ON g.entity_id = w1.entity_id AND g.month = w1.month LEFT JOIN w2 ON g.entity_id = w2.entity_id AND g.month = w2.month AND g.c = w2.c)
+SELECT template_kind, CASE change {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CHANGES))} END AS change, count(*) AS n, avg(CASE WHEN executable THEN 1.0 ELSE 0.0 END) AS executable_rate, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS correct_rate FROM h GROUP BY ALL""").replace(NAT, OD).replace(_orders_sql("od", "c_nationkey"), OD)
+
+
+@query("sql_pair_rates", _PAIRS)
+def sql_pair_rates(spark, d):
+    """Rates by template and change over all questions about all customers."""
+    rows = od(spark, d)
+    questions.register(rows)
+    pairs = kept(_sql_pairs(rows, split.cutoffs(rows), facts.detect(rows)), "changed")
+    found = sqlpairs.rates(spark, pairs, keep=["template_kind", "change"])
+    return found.summary("template_kind", "change")
+
+
 @query("context_join", f"""WITH {EVS}, s AS (SELECT *, {_ser()} AS text FROM evs), c AS (SELECT _row_id, list(text) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS x FROM s)
 SELECT _row_id, array_to_string(list_concat([x[len(x)]], x[1:len(x) - 1]), ' ') AS text FROM c""")
 def context_join(spark, d):
