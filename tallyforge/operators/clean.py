@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.parsing import amount, present, pseudonym, timestamp
+from tallyforge.operators.history import history
 from tallyforge.operators.resolve import Conventions, Resolution
 from tallyforge.plans.schema import CANONICAL, EXTRA, HASHED, REQUIRED, SALT
 
@@ -87,16 +88,17 @@ def hash_ids(df: DataFrame, fields: list[str] = HASHED, salt: str = SALT) -> Dat
 
 def with_features(df: DataFrame) -> DataFrame:
     """Day of the week (Monday 0), hour, hours since the entity's last transaction, and the mean of its up to three
-    amounts before. One window, so one shuffle and one sort."""
-    w = Window.partitionBy("entity_id").orderBy("timestamp", "_row_id")
-    since = F.expr("timestampdiff(MICROSECOND, lag(timestamp) OVER (PARTITION BY entity_id ORDER BY timestamp, _row_id), timestamp)") / 3600e6
-    return df.select(
+    amounts before. One window, so one shuffle and one sort; hot entities are cut into chunks."""
+    seen = history(df, back=3)
+    before = F.lag("timestamp").over(seen.window)
+    since = F.timestamp_diff("MICROSECOND", before, F.col("timestamp")) / 3600e6
+    return seen.done(seen.rows.select(
         "*",
         F.weekday("timestamp").alias("day_of_week"),
         F.hour("timestamp").alias("hour_of_day"),
         since.alias("time_since_last_txn_hours"),
-        F.avg("amount").over(w.rowsBetween(-3, -1)).alias("rolling_avg_amount_3"),
-    )
+        F.avg("amount").over(seen.window.rowsBetween(-3, -1)).alias("rolling_avg_amount_3"),
+    ))
 
 
 def cleaned(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = (), normalize_ids: bool = False) -> tuple[DataFrame, DataFrame]:

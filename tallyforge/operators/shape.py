@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.operators.history import history
 from tallyforge.plans.schema import EXTRA
 
 CONTEXT = 10
@@ -35,12 +36,10 @@ def serialized(columns: list[str], without: set[str] = frozenset()) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *[p for k, p in parts.items() if k not in without]), F.lit("}"))
 
 
-def _history(n: int = CONTEXT):
-    return Window.partitionBy("entity_id").orderBy("timestamp", "_row_id").rowsBetween(-(n - 1), 0)
-
-
 def with_context(df: DataFrame, n: int = CONTEXT) -> DataFrame:
-    return df.withColumn("context", F.collect_list(serialized(df.columns)).over(_history(n)))
+    """``context``: the up to n last rows of an entity, serialized, oldest first."""
+    seen = history(df, back=n - 1)
+    return seen.done(seen.rows.withColumn("context", F.collect_list(serialized(df.columns)).over(seen.window.rowsBetween(-(n - 1), 0))))
 
 
 def fraud_examples(df: DataFrame, n: int = CONTEXT, fraud: list[str] = FRAUD_LABELS) -> DataFrame:
@@ -61,12 +60,12 @@ def category_examples(df: DataFrame) -> DataFrame:
 
 def behaviour_examples(df: DataFrame, n: int = CONTEXT) -> DataFrame:
     """Windows of up to n rows that end at an entity's rows 2, 2 + n/2, ... and its last."""
-    order = Window.partitionBy("entity_id").orderBy("timestamp", "_row_id")
+    seen = history(df, back=n - 1)
     every = max(1, n // 2)
-    placed = df.select(
-        "split", "_row_id", F.row_number().over(order).alias("_at"), F.count("*").over(Window.partitionBy("entity_id")).alias("_of"),
-        F.collect_list(serialized(df.columns)).over(_history(n)).alias("sequence"),
-    )
+    placed = seen.done(seen.rows.select(
+        "split", "_row_id", seen.at.alias("_at"), seen.of.alias("_of"), "_own",
+        F.collect_list(serialized(df.columns)).over(seen.window.rowsBetween(-(n - 1), 0)).alias("sequence"),
+    ))
     ends = placed.filter((F.col("_at") >= 2) & (((F.col("_at") - 2) % every == 0) | (F.col("_at") == F.col("_of"))))
     return ends.select(F.lit("general_behavioral").alias("task"), "sequence", "split", "_row_id")
 
