@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.parsing import portable_hash
-from tallyforge.operators.facts import Convention, facts, month_end
+from tallyforge.operators.facts import Cells, Convention, facts, month_end
 from tallyforge.operators.shape import decimals
 from tallyforge.operators.split import label
 
@@ -44,7 +44,7 @@ def narrative(choice: Column) -> Column:
     return F.concat_ws(" ", first, has("top_category", top), has("top_merchant", shop), F.when(F.col("max_amount") != 0, most), has("trend_direction", trend))
 
 
-def examples(df: DataFrame, cuts: DataFrame, by: Convention, phrasings: int = 2, seed: int = 0) -> DataFrame:
+def examples(df: DataFrame | Cells, cuts: DataFrame, by: Convention, phrasings: int = 2, seed: int = 0) -> DataFrame:
     found = facts(df, by).join(F.broadcast(cuts), F.lit(True))  # one row
     each = found.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(phrasings - 1))))
     choice = portable_hash(F.lit(f"{seed}summary"), F.col("entity_id"), F.date_format("month", "yyyy-MM"), F.col("variant")) % 4

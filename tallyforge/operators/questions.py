@@ -93,9 +93,9 @@ def _pick(seed: int, purpose: str, items: Column, *by: str) -> Column:
     return F.get(items, F.try_mod(portable_hash(F.lit(f"{seed}{purpose}"), *[F.col(b) for b in by]), F.size(items)).cast("int"))
 
 
-def candidates(df: DataFrame, seed: int = 0, attempts: int = ATTEMPTS) -> DataFrame:
+def candidates(df: DataFrame | fx.Cells, seed: int = 0, attempts: int = ATTEMPTS) -> DataFrame:
     """For each entity and attempt a template with its parameters: number, c, d, month, month2 (null where not needed)."""
-    own = fx.with_month(df).groupBy("entity_id").agg(F.array_sort(F.collect_set("category")).alias("cats"), F.array_sort(F.collect_set("month")).alias("months"))
+    own = fx.cells(df).all.groupBy("entity_id").agg(F.array_sort(F.collect_set("category")).alias("cats"), F.array_sort(F.collect_set("month")).alias("months"))
     tried = own.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
     at = ("entity_id", "attempt")
     drawn = tried.select(
@@ -118,14 +118,14 @@ def candidates(df: DataFrame, seed: int = 0, attempts: int = ATTEMPTS) -> DataFr
     return kept.filter(c_ok & d_ok & k_ok)
 
 
-def answers(df: DataFrame, asked: DataFrame, by: fx.Convention) -> DataFrame:
+def answers(df: DataFrame | fx.Cells, asked: DataFrame, by: fx.Convention) -> DataFrame:
     """``asked`` with the answer's text where it is usable, null elsewhere. As in the questions' SQL, a month ends with its
     last whole second: what lies in the fraction behind it is in no month."""
-    inside = F.col("timestamp") <= fx.month_end("month")
-    rows = fx.spend(df, by).filter(inside)
+    df = fx.cells(df)
+    rows = fx.within_month(fx.spend(df, by))
     cat = fx.by_category(rows)
     month = fx.by_month(rows)
-    listed = fx.with_month(df).filter(inside).groupBy(*fx.KEY, "category").agg(F.count("*").alias("listed_c"))
+    listed = fx.within_month(df.all).groupBy(*fx.KEY, "category").agg(F.sum("n").alias("listed_c"))
     all_listed = listed.groupBy(*fx.KEY).agg(F.sum("listed_c").alias("listed"))
     total = lambda c, name: cat.select(*fx.KEY, F.col("category").alias(c), F.col("total").alias(name))
     row = lambda f, name: f.select(*fx.KEY, F.to_json(F.struct(*[x for x in f.columns if x not in fx.KEY])).alias(name))
@@ -149,17 +149,19 @@ def answers(df: DataFrame, asked: DataFrame, by: fx.Convention) -> DataFrame:
     return out.select(*asked.columns, answer.alias("reference_answer"))
 
 
-def usable(df: DataFrame, by: fx.Convention, seed: int = 0, per_entity: int = PER_ENTITY, attempts: int = ATTEMPTS) -> DataFrame:
+def usable(df: DataFrame | fx.Cells, by: fx.Convention, seed: int = 0, per_entity: int = PER_ENTITY, attempts: int = ATTEMPTS) -> DataFrame:
     """The first ``per_entity`` attempts of each entity that have an answer."""
+    df = fx.cells(df)
     answered = answers(df, candidates(df, seed, attempts), by).filter("reference_answer IS NOT NULL")
     order = Window.partitionBy("entity_id").orderBy("attempt")  # at most ``attempts`` rows
     return answered.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_entity).drop("_n")
 
 
-def examples(df: DataFrame, cuts: DataFrame, by: fx.Convention, seed: int = 0, variants: int = VARIANTS, per_entity: int = PER_ENTITY) -> DataFrame:
+def examples(df: DataFrame | fx.Cells, cuts: DataFrame, by: fx.Convention, seed: int = 0, variants: int = VARIANTS, per_entity: int = PER_ENTITY) -> DataFrame:
     """The training examples: a row for each usable candidate and phrasing, split by the later month's end."""
     from tallyforge.operators.split import label
 
+    df = fx.cells(df)
     kept = usable(df, by, seed, per_entity).join(fx.majority(df, "currency", ["entity_id"]), "entity_id", "left")
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     name = lambda c: F.date_format(c, "MMMM yyyy")

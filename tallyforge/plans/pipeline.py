@@ -99,13 +99,14 @@ def run_pipeline(
         counts = {r["split"]: r["n"] for r in split.split_counts(rows).collect()}  # three rows
         out.split_stats = {"train_frac_requested": train_frac, "val_frac_requested": val_frac, "train_cutoff": str(row["train_cutoff"]), "val_cutoff": str(row["val_cutoff"]), "row_counts": counts}
         log.data["splitting"] = out.split_stats
-    convention = facts.detect(rows, spend) if set(tasks) & set(QUERY_TASKS) else None
+    cells = facts.cells(rows) if set(tasks) & set(QUERY_TASKS) else None
+    convention = facts.detect(cells, spend) if cells else None
     for i, task in enumerate(tasks):
         tell(f"shaping: {task}", 0.5 + 0.45 * i / max(1, len(tasks)))
         if task == "query_sql":
-            out.shaped[task] = questions.examples(rows, cuts, convention)
+            out.shaped[task] = questions.examples(cells, cuts, convention)
         elif task == "spend_summarization":
-            out.shaped[task] = narrate.examples(rows, cuts, convention)
+            out.shaped[task] = narrate.examples(cells, cuts, convention)
         else:
             out.shaped[task] = shape.shape(rows, task)
         log.data["shaping"][task] = {"task_type": task}

@@ -112,7 +112,7 @@ def evs(spark, d) -> DataFrame:
 
 
 def _spend(spark, d) -> DataFrame:
-    rows = nat(spark, d)
+    rows = facts.cells(nat(spark, d))
     return facts.spend(rows, facts.detect(rows))
 
 
@@ -475,8 +475,7 @@ facts AS (SELECT * EXCLUDE (change), CASE WHEN change > 0 THEN 'up' WHEN change
 
 
 def _facts(spark, d) -> DataFrame:
-    rows = nat(spark, d)
-    return facts.facts(rows, facts.detect(rows))
+    return facts.facts(nat(spark, d))
 
 
 @query("facts_core", f"WITH {FACTS} SELECT entity_id, month, total AS total_spend, n AS transaction_count, top_category, top_category_amount, round(top_category_pct, 4) AS top_category_pct FROM facts")
@@ -513,7 +512,8 @@ SELECT entity_id, month, CAST(variant AS INTEGER) AS variant, 'Summarize my spen
  {_label("(month + INTERVAL 1 MONTH - INTERVAL 1 SECOND)")} AS split FROM v, cuts""")
 def narrative(spark, d):
     rows = nat(spark, d)
-    made = narrate.examples(rows, split.cutoffs(rows), facts.detect(rows))
+    cells = facts.cells(rows)
+    made = narrate.examples(cells, split.cutoffs(rows), facts.detect(cells))
     return made.select("entity_id", "month", "variant", "instruction", "output", "split")
 
 
@@ -558,7 +558,7 @@ answered AS (SELECT q.*, CASE q.number {' '.join(f'WHEN {i} THEN {_ANSWERS[t.nam
 
 @query("answer_format", f"WITH {ANSWERED} SELECT entity_id, attempt, reference_answer FROM answered")
 def answer_format(spark, d):
-    rows = nat(spark, d)
+    rows = facts.cells(nat(spark, d))
     return questions.answers(rows, questions.candidates(rows), facts.detect(rows)).select("entity_id", "attempt", "reference_answer")
 
 
@@ -606,7 +606,8 @@ SELECT 'query_sql' AS task, entity_id, attempt, {_by_template(_said_sql)} AS ins
  {_label('(' + _LAST.format('coalesce(greatest(month, month2), month)') + ')')} AS split, {_by_template(lambda t: _text(questions.adapted(t, facts.Convention(True, 'any'))[0]))} AS _debug_sql_template FROM e, cuts""")
 def nl_sql_examples(spark, d):
     rows = nat(spark, d)
-    made = questions.examples(rows, split.cutoffs(rows), facts.detect(rows))
+    cells = facts.cells(rows)
+    made = questions.examples(cells, split.cutoffs(rows), facts.detect(cells))
     return made.drop("_debug_sql_params").select("*")
 
 
@@ -709,7 +710,7 @@ def class_weights(spark, d):
 _CHANGES = ["spelling", "condition", "entity", "table", "order"]
 
 
-def _sql_pairs(rows: DataFrame, cuts: DataFrame, by: facts.Convention) -> DataFrame:
+def _sql_pairs(rows: DataFrame | facts.Cells, cuts: DataFrame, by: facts.Convention) -> DataFrame:
     """Each question's SQL and a changed copy: spelt otherwise, with a condition more that holds anyway, for an entity that
     doesn't exist, of a table that doesn't exist, or (lists only) in descending order."""
     made = questions.examples(rows, cuts, by, variants=1)
@@ -736,7 +737,8 @@ def sql_pair_rates(spark, d):
     """Rates by template and change over all questions about all customers."""
     rows = od(spark, d)
     questions.register(rows)
-    pairs = kept(_sql_pairs(rows, split.cutoffs(rows), facts.detect(rows)), "changed")
+    cells = facts.cells(rows)
+    pairs = kept(_sql_pairs(cells, split.cutoffs(rows), facts.detect(cells)), "changed")
     found = sqlpairs.rates(spark, pairs, keep=["template_kind", "change"])
     return found.summary("template_kind", "change")
 
