@@ -107,6 +107,15 @@ def timestamp(raw: Column, day_first: bool = True) -> Column:
     return bind(F.regexp_replace(_stripped(raw), r"\s+", " "), lambda x: _dated(x, day_first))
 
 
+_LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123)])
+
+
+def mask(raw: Column) -> Column:
+    """The layout of a value: each run of digits a 9, each run of letters an a, of white space a space, all else as it is."""
+    plain = F.translate(F.regexp_replace(_stripped(raw), r"\s+", " "), "0123456789" + _LETTERS, "9" * 10 + "a" * 52)
+    return F.regexp_replace(plain, "(9)9*|(a)a*", "$1$2")
+
+
 def only_as(raw: Column, day_first: bool) -> Column:
     """Whether a numeric date can be read this way and not the other."""
 

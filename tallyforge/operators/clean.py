@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tallyforge.functions.parsing import amount, present, pseudonym, timestamp
 from tallyforge.operators.history import history
 from tallyforge.operators.resolve import Conventions, Resolution
 from tallyforge.plans.schema import CANONICAL, EXTRA, HASHED, REQUIRED, SALT
+from tallyforge.sources.scratch import kept
 
 DEDUP_KEY = ["entity_id", "timestamp", "amount", "counterparty"]
 
@@ -69,17 +71,40 @@ def null_counts(df: DataFrame, fields: list[str] = REQUIRED) -> DataFrame:
     return df.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in fields])
 
 
-def gate_stats(mapped: DataFrame, kept: DataFrame) -> DataFrame:
+def settled(mapped: DataFrame, key: list[str] = DEDUP_KEY, order: str = "_row_id") -> DataFrame:
+    """The gate and the removal of copies with all that their statistics need, from one pass: the first row of each key (as
+    ``keep_first``) with ``_copies``, how many rows had it, and the rows that lack required fields as one row for each set of
+    these. ``_no_...``: which are lacking. The counts are part of the rows, so they hold whatever is computed twice after
+    an executor is lost, which counters that run along don't."""
+    lacking = [F.col(f).isNull().alias(f"_no_{f}") for f in REQUIRED]
+    fits = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in REQUIRED])
+    rest = [c for c in mapped.columns if c not in key]
+    grouped = mapped.groupBy(*[F.when(fits, F.col(c)).alias(c) for c in key], *lacking).agg(F.min_by(F.struct(*rest), order).alias("_first"), F.count("*").alias("_copies"))
+    return grouped.select(*[F.col(f"_first.`{c}`").alias(c) if c not in key else F.col(c) for c in mapped.columns], *[f"_no_{f}" for f in REQUIRED], "_copies")
+
+
+def _complete() -> Column:
+    return reduce(lambda a, b: a & b, [~F.col(f"_no_{f}") for f in REQUIRED])
+
+
+def settled_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(_complete()).drop("_copies", *[f"_no_{f}" for f in REQUIRED])
+
+
+def settled_stats(rows: DataFrame) -> DataFrame:
     """One row: rows in, nulls of each required field, rows dropped for nulls, copies removed, rows out, per cent kept."""
-    whole = F.lit(True)
-    for f in REQUIRED:
-        whole = whole & F.col(f).isNotNull()
-    before = mapped.agg(F.count("*").alias("input_rows"), F.count_if(~whole).alias("dropped_missing_required"), *[F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in REQUIRED])
-    after = kept.agg(F.count("*").alias("output_rows"))
-    copies = F.col("input_rows") - F.col("dropped_missing_required") - F.col("output_rows")
-    retained = F.coalesce(F.try_divide(F.col("output_rows") * 100.0, F.col("input_rows")), F.lit(0.0))
-    both = before.join(after, F.lit(True))  # two single rows
-    return both.select("*", copies.alias("duplicate_rows_removed"), retained.alias("retained_pct"))
+    whole = _complete()
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("_copies"))), F.lit(0))
+    sums = rows.agg(
+        count(F.lit(True)).alias("input_rows"), count(~whole).alias("dropped_missing_required"), *[count(F.col(f"_no_{f}")).alias(f"null_{f}") for f in REQUIRED],
+        F.count_if(whole).alias("output_rows"), (count(whole) - F.count_if(whole)).alias("duplicate_rows_removed"),
+    )
+    return sums.select("*", F.coalesce(F.try_divide(F.col("output_rows") * 100.0, F.col("input_rows")), F.lit(0.0)).alias("retained_pct"))
+
+
+def gate_stats(mapped: DataFrame) -> DataFrame:
+    """The statistics of gate and removal of copies; values are parsed once."""
+    return settled_stats(settled(mapped))
 
 
 def hash_ids(df: DataFrame, fields: list[str] = HASHED, salt: str = SALT) -> DataFrame:
@@ -102,7 +127,6 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def cleaned(df: DataFrame, found: Resolution, by: Conventions, extras: list[str] = (), normalize_ids: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(clean rows with features, their statistics)."""
-    mapped = to_canonical(df, found, by, extras, normalize_ids=normalize_ids)
-    kept = keep_first(gate(mapped))
-    return with_features(hash_ids(kept)), gate_stats(mapped, kept)
+    """(clean rows with features, their statistics). The raw rows are read and parsed once: what is left of them is written."""
+    rows = kept(settled(to_canonical(df, found, by, extras, normalize_ids=normalize_ids)), "clean")
+    return with_features(hash_ids(settled_rows(rows))), settled_stats(rows)

@@ -146,10 +146,16 @@ def compare_periods(rows: DataFrame, first: Column, second: Column) -> DataFrame
     return rows.filter(F.col("month").isin(first, second)).groupBy("entity_id").agg(total(first).alias("p1"), total(second).alias("p2"))
 
 
-def listing(df: DataFrame, category: bool = False) -> DataFrame:
+def listing(df: DataFrame) -> DataFrame:
     """Transactions with their month, to be filtered; spend or not."""
-    columns = ["timestamp", "amount", "category", "counterparty"]
-    return with_month(df).select(*KEY, *columns, "_row_id") if not category else with_month(df).filter("category IS NOT NULL").select(*KEY, *columns, "_row_id")
+    return with_month(df).select(*KEY, "timestamp", "amount", "category", "counterparty", "_row_id")
+
+
+def listing_by_category(df: DataFrame) -> DataFrame:
+    """Each list that a question for a category and a month shows, with the place of its rows in time; rows of one time have
+    one place."""
+    place = F.rank().over(Window.partitionBy(*KEY, "category").orderBy("timestamp")).cast("long")
+    return with_month(df).filter("category IS NOT NULL").select(*KEY, "category", "timestamp", "amount", "counterparty", place.alias("place"))
 
 
 def range_totals(rows: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.functions.parsing import portable_hash
+
 TOKEN = r"[0-9a-f]{8,}|[a-zA-Z]+|\d+|[^\sa-zA-Z\d]"
 VOCABULARY = 500
 PAD, UNKNOWN = 0, 1
@@ -25,8 +27,6 @@ def vocabulary(texts: DataFrame, text: str = "text", most: int = VOCABULARY) ->
     """(token, id) of the most frequent tokens, of equals the first by name; 0 and 1 are for padding and unknowns."""
     counts = texts.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(most - 2)
-    from pyspark.sql import Window
-
     return top.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), "token")) + 1).alias("id"), "n")  # at most ``most`` rows
 
 
@@ -39,14 +39,15 @@ def encoded(texts: DataFrame, vocab: DataFrame, length: int = 48, text: str = "t
     return padded.withColumn("ids", F.concat("ids", F.array_repeat(F.lit(PAD), F.lit(length) - F.size("ids")))).drop("_ids")
 
 
-def sampled(examples: DataFrame, seed: int = 0, by: list[str] = ()) -> DataFrame:
-    """At most MAX_TRAIN rows of train and MAX_VAL of val for each group, by a seeded hash."""
-    from pyspark.sql import Window
-
-    order = F.xxhash64(F.lit(seed), "text", "output")
-    ranked = examples.filter(F.col("split").isin("train", "val")).withColumn("_k", F.row_number().over(Window.partitionBy(*by, "split").orderBy(order, "text", "output")))
-    most = F.when(F.col("split") == "train", MAX_TRAIN).otherwise(MAX_VAL)
-    return ranked.filter(F.col("_k") <= most).drop("_k")
+def sampled(examples: DataFrame, seed: int = 0, by: list[str] = (), most: dict[str, int] | None = None) -> DataFrame:
+    """At most MAX_TRAIN rows of train and MAX_VAL of val (or ``most`` of each split) for each group: those of the smallest
+    seeded hashes. The constant bound lets every task keep its own smallest rows before the shuffle, so a group of any size
+    sends no more than that from each task."""
+    most = most or {"train": MAX_TRAIN, "val": MAX_VAL}
+    order = Window.partitionBy(*by, "split").orderBy(portable_hash(F.lit(seed), F.col("text"), F.col("output")), "text", "output")
+    ranked = examples.filter(F.col("split").isin(list(most))).withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= max(most.values()))
+    own = F.coalesce(*[F.when(F.col("split") == s, n) for s, n in most.items()])
+    return ranked.filter(F.col("_k") <= own).drop("_k")
 
 
 RUN_SCHEMA = (

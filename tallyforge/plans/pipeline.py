@@ -86,6 +86,12 @@ def run_pipeline(
     tell("cleaning", 0.30)
     rows, stats = clean.cleaned(raw, found, by, list(extra_context_cols), normalize_ids)
     out.cleaning_stats = stats.first().asDict()
+    if out.cleaning_stats["null_timestamp"]:
+        source = next(c for c, f in found.columns.items() if f == "timestamp")
+        unread = [r.asDict() for r in resolve.unread_dates(raw, source, by).collect()]  # at most 20
+        log.data["schema_resolution"]["unread_dates"] = unread
+        for r in unread:
+            log.warn(f"[timestamp] {r['n']} value(s) like '{r['example']}' are no dates")
     log.data["cleaning"] = out.cleaning_stats | {"pii_fields_hashed": list(clean.HASHED)}
     if extra_context_cols:
         log.warn(f"extra columns carried through unhashed: {list(extra_context_cols)}")

@@ -166,9 +166,39 @@ _RESOLVED = """SELECT * FROM (VALUES ('acct_no', 'entity_id', 0.95, 'exact_alias
  AS t(source_column, canonical_field, confidence, method, status)"""
 
 
+def _draw_sql(purpose: str, *by: str) -> str:
+    return f"((CAST('0x' || substr(md5(concat_ws('|', '42{purpose}', {', '.join(by)})), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE))"
+
+
+def _pick_sql(items: list[str], purpose: str) -> str:
+    return f"[{', '.join(_text(x) for x in items)}][1 + CAST(floor({_draw_sql(purpose, 'entity_id', 'CAST(k AS VARCHAR)')} * {len(items)}) AS BIGINT)]"
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_AT = ("entity_id", "CAST(k AS VARCHAR)")
+_USUAL = " ".join(f"WHEN {_text(m)} THEN {_text(c)}" for m, c in tables.MERCHANTS.items())
+
+
+@query("synthetic_transactions", f"""WITH u AS (SELECT 'C' || c_custkey AS entity_id FROM customer), n AS (SELECT entity_id, unnest(range(1, 1 + CAST(floor({_draw_sql('count', 'entity_id')} * 45 + 15) AS BIGINT))) AS k FROM u),
+d AS (SELECT entity_id, k, floor({_draw_sql('second', *_AT)} * 90 * 86400) + floor({_draw_sql('hour', *_AT)} * 24) * 3600 AS s, {_pick_sql(list(tables.MERCHANTS), 'merchant')} AS counterparty, {_pick_sql(sorted(set(tables.MERCHANTS.values())), 'category')} AS other,
+ {_draw_sql('noise', *_AT)} AS noise, {_pick_sql(tables.CHANNELS, 'channel')} AS way, exp(sqrt(-2 * ln({_draw_sql('paid1', *_AT)})) * cos(2 * pi() * {_draw_sql('paid2', *_AT)}) * CAST(0.9 AS DOUBLE) + CAST(3.2 AS DOUBLE)) AS paid, {_draw_sql('odd', *_AT)} AS odd, {_draw_sql('times', *_AT)} AS times FROM n)
+SELECT entity_id, CAST(k AS INTEGER) AS k, TIMESTAMP '2026-01-01' + to_seconds(CAST(s AS BIGINT)) AS "timestamp", round(paid * CASE WHEN odd < 0.02 THEN times * 9 + 6 ELSE CAST(1 AS DOUBLE) END, 2) AS amount, 'USD' AS currency,
+ CASE WHEN noise > 0.10 THEN CASE counterparty {_USUAL} END ELSE other END AS category, CASE WHEN odd < 0.02 THEN 'online' ELSE way END AS channel, counterparty, 'COMPLETED' AS status, CAST(CASE WHEN odd < 0.02 THEN 1 ELSE 0 END AS INTEGER) AS label FROM d""")
+def synthetic_transactions(spark, d):
+    """Transactions made up for each of the given customers."""
+    return tables.synthetic_for(_customers(spark, d))
+
+
 @query("schema_resolution", _RESOLVED.replace("0.95", "CAST(0.95 AS DOUBLE)"))
 def schema_resolution(spark, d):
-    return _report(spark, resolve.resolve(tables.provider_b(spark)))
+    return _report(spark, resolve.resolve(tables.provider_b(spark, entities=_customers(spark, d))))
+
+
+def _customers(spark, d) -> DataFrame:
+    return load(spark, d, "customer").select(F.concat(F.lit("C"), "c_custkey").alias("entity_id"))
 
 
 def _report(spark, found: resolve.Resolution) -> DataFrame:
@@ -292,8 +322,23 @@ def dedup_keep_first(spark, d):
  (SELECT count(*) FILTER (WHERE entity_id IS NULL) FROM both_) AS null_entity_id, (SELECT count(*) FILTER (WHERE "timestamp" IS NULL) FROM both_) AS null_timestamp, (SELECT count(*) FILTER (WHERE amount IS NULL) FROM both_) AS null_amount,
  (SELECT count(*) FROM kept) AS output_rows, (SELECT count(*) FROM gated) - (SELECT count(*) FROM kept) AS duplicate_rows_removed, (SELECT count(*) FROM kept) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM both_) AS retained_pct""")
 def gate_stats(spark, d):
-    mapped = _mapped(spark, d)
-    return clean.gate_stats(mapped, clean.keep_first(clean.gate(mapped)))
+    return clean.gate_stats(_mapped(spark, d))
+
+
+@query("settled_rows", f'WITH {RAW} SELECT entity_id, "timestamp", amount, category, _row_id FROM kept')
+def settled_rows(spark, d):
+    return clean.settled_rows(clean.settled(_mapped(spark, d))).select("entity_id", "timestamp", "amount", "category", "_row_id")
+
+
+@query("date_unread_layouts", """WITH r AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders),
+v AS (SELECT CASE k % 5 WHEN 0 THEN d WHEN 1 THEN 'on ' || d WHEN 2 THEN CAST(k AS VARCHAR) WHEN 3 THEN d || ' 25:61' ELSE substr(d, 1, 7) END AS v, CASE k % 5 WHEN 1 THEN 'a 9-9-9' WHEN 2 THEN '9' WHEN 3 THEN '9-9-9 9:9' WHEN 4 THEN '9-9' END AS layout FROM r)
+SELECT layout, count(*) AS n, min(v) AS example FROM v WHERE layout IS NOT NULL GROUP BY layout""")
+def date_unread_layouts(spark, d):
+    """Values of which one in five is a date."""
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    forms = [day, F.concat(F.lit("on "), day), key.cast("string"), F.concat(day, F.lit(" 25:61")), F.substring(day, 1, 7)]
+    rows = load(spark, d, "orders").select(F.coalesce(*[F.when(key % 5 == i, f) for i, f in enumerate(forms)]).alias("date"))
+    return resolve.unread_dates(rows, "date", resolve.Conventions())
 
 
 @query("defaults_extras", f"WITH {RAW} SELECT _row_id, 'USD' AS currency, 'UNKNOWN' AS channel, 'UNKNOWN' AS counterparty, 'COMPLETED' AS status, note AS extra__note FROM both_")
@@ -439,19 +484,34 @@ def compare_periods(spark, d):
     return facts.compare_periods(_spend(spark, d), month("1996-03-01"), month("1997-05-01"))
 
 
-_LISTED = f'WITH {OD} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM od'
+def _listed_sql(source: str, name: str) -> str:
+    return f'WITH {source} SELECT entity_id, {MONTH} AS month, "timestamp", amount, category, counterparty, _row_id FROM {name}'
 
 
-@query("list_txns", _LISTED)
-@query("list_txns_all", _LISTED)
+def _by_category_sql(source: str, name: str) -> str:
+    return f"""WITH {source} SELECT entity_id, {MONTH} AS month, category, "timestamp", amount, counterparty, rank() OVER (PARTITION BY entity_id, {MONTH}, category ORDER BY "timestamp") AS place FROM {name} WHERE category IS NOT NULL"""
+
+
+@query("list_txns", _listed_sql(OD, "od"))
 def list_txns(spark, d):
     return facts.listing(od(spark, d))
 
 
-@query("list_txns_category", _LISTED)
-@query("list_txns_category_all", _LISTED)
+@query("list_txns_all", _listed_sql(EV, "ev"))
+def list_txns_all(spark, d):
+    """The same over events."""
+    return facts.listing(ev(spark, d))
+
+
+@query("list_txns_category", _by_category_sql(OD, "od"))
 def list_txns_category(spark, d):
-    return facts.listing(od(spark, d), category=True)
+    return facts.listing_by_category(od(spark, d))
+
+
+@query("list_txns_category_all", _by_category_sql(EV, "ev"))
+def list_txns_category_all(spark, d):
+    """The same over events."""
+    return facts.listing_by_category(ev(spark, d))
 
 
 @query("majority_status", f"WITH {NAT} SELECT status FROM nat GROUP BY status ORDER BY count(*) DESC, status LIMIT 1")
@@ -575,10 +635,6 @@ def render_literal_sql(spark, d):
     return months.select("entity_id", "month", questions.rendered(sql, [value[n] for n in names]).alias("sql"))
 
 
-def _text(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
 _ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
 _LAST = "{} + INTERVAL 1 MONTH - INTERVAL 1 SECOND"
 _VALUES = {"entity_id": "entity_id", "status": "top", "currency": "own", "c": "c", "d": "d", "start": _ISO.format("month"), "end": _ISO.format(_LAST.format("month")), "start2": _ISO.format("month2"), "end2": _ISO.format(_LAST.format("month2"))}
@@ -688,13 +744,19 @@ _OVERSAMPLED = f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN cat
 
 
 @query("oversample_minority", _OVERSAMPLED)
-@query("oversample_minority_all", _OVERSAMPLED)
 def oversample_minority(spark, d):
     """All events, of which some errors count as the scarce class."""
     rows = ev(spark, d).select("_row_id", F.when((F.col("category") == "error") & (F.col("_row_id") % 11 == 0), "scarce").otherwise("other").alias("kind"))
     return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
 
 
+@query("oversample_minority_all", f"WITH {OD}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN _row_id % 41 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM od)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
+def oversample_minority_all(spark, d):
+    """All orders, of which one in 41 counts as the scarce class."""
+    rows = od(spark, d).select("_row_id", F.when(F.col("_row_id") % 41 == 0, "scarce").otherwise("other").alias("kind"))
+    return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
+
+
 @query("balance_kinds", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN _row_id % 9 = 0 THEN 'comparison' ELSE 'aggregation' END AS template_kind FROM ev)", "template_kind = 'comparison'", "CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT) - s"))
 def balance_kinds(spark, d):
     rows = ev(spark, d).select("_row_id", F.when(F.col("_row_id") % 9 == 0, "comparison").otherwise("aggregation").alias("template_kind"))
@@ -770,11 +832,28 @@ _PERPLEXITY = f"WITH {EV} SELECT _row_id, CASE WHEN amount / 10 < 20 THEN round(
 
 
 @query("perplexity", _PERPLEXITY)
-@query("perplexity_all", _PERPLEXITY)
 def perplexity(spark, d):
     return ev(spark, d).select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
 
 
+@query("perplexity_all", """WITH l AS (SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(20,4))) AS DOUBLE) / count(*) / 2 AS loss FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CASE WHEN loss < 20 THEN round(exp(loss), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM l""")
+def perplexity_all(spark, d):
+    """Of mean losses: half the quantities of each order's lines."""
+    loss = F.sum(parsing.money(F.col("l_quantity"))).cast("double") / F.count("*") / 2
+    lines = load(spark, d, "lineitem").groupBy("l_orderkey").agg(loss.alias("loss"))
+    return lines.select("l_orderkey", F.round(evaluate.perplexity(F.col("loss")), 3).alias("perplexity"))
+
+
+@query("bounded_sample", f"""WITH {EVS}, s AS (SELECT channel AS dataset, split, _row_id, {_ser(False)} AS text, category AS output FROM evs WHERE split <> 'test'),
+k AS (SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY CAST('0x' || substr(md5(concat_ws('|', '0', text, output)), 1, 8) AS BIGINT), text, output) AS k FROM s)
+SELECT dataset, split, text, output FROM k WHERE k <= CASE split WHEN 'train' THEN {sanity.MAX_TRAIN} ELSE {sanity.MAX_VAL} END""")
+def bounded_sample(spark, d):
+    rows = evs(spark, d)
+    examples = rows.select(F.col("channel").alias("dataset"), "split", shape.serialized(rows.columns, {"category", "split"}).alias("text"), F.col("category").alias("output"))
+    return sanity.sampled(examples, by=["dataset"]).select("dataset", "split", "text", "output")
+
+
 @query("union_sources", f"WITH {EV}, {OD} SELECT 'events' AS source, count(*) AS n, {MONEY.format('amount')} AS total FROM ev UNION ALL SELECT 'orders', count(*), {MONEY.format('amount')} FROM od")
 def union_sources(spark, d):
     both = ev(spark, d).withColumn("source", F.lit("events")).unionByName(od(spark, d).withColumn("source", F.lit("orders")))

@@ -6,9 +6,10 @@ import json
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyforge.functions.parsing import portable_hash
 from tallyforge.sources import csvfile
 
 def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -89,38 +90,57 @@ MERCHANTS = {
 CHANNELS = ["card_present", "card_not_present", "online", "atm", "mobile_app"]
 
 
-def synthetic_base(spark: SparkSession, entities: int = 40, days: int = 90, seed: int = 42) -> DataFrame:
-    """15 to 59 transactions an entity over ``days`` days from 2026-01-01: log-normal amounts, a category that follows
-    the merchant in nine cases of ten, and two per cent of anomalies."""
+def draw(seed: int, purpose: str, *by: str) -> Column:
+    """A number between 0 and 1 that depends on seed, purpose and the columns ``by`` only: the same for any partitioning, and
+    in any engine that has md5."""
+    return (portable_hash(F.lit(f"{seed}{purpose}"), *[F.col(b) for b in by]) + 0.5) / float(1 << 32)
+
+
+def normal(seed: int, purpose: str, *by: str) -> Column:
+    """A standard normal draw, from two uniform ones (Box and Muller)."""
+    return F.sqrt(-2.0 * F.log(draw(seed, purpose + "1", *by))) * F.cos(2.0 * F.pi() * draw(seed, purpose + "2", *by))
+
+
+def synthetic_for(entities: DataFrame, days: int = 90, seed: int = 42) -> DataFrame:
+    """15 to 59 transactions for each of ``entities`` (entity_id) over ``days`` days from 2026-01-01: log-normal amounts, a
+    category that follows the merchant in nine cases of ten, and two per cent of anomalies. A row's draws depend on the
+    seed, its entity and its number ``k``."""
     categories = sorted(set(MERCHANTS.values()))
-    pick = lambda items, s: F.get(F.array(*[F.lit(x) for x in items]), F.floor(F.rand(s) * len(items)).cast("int"))
-    users = spark.range(entities).select(F.format_string("CUST%04d", "id").alias("entity_id"), F.explode(F.sequence(F.lit(1), F.floor(F.rand(seed) * 45 + 15).cast("int"))).alias("k"))
+    at = ("entity_id", "k")
+    pick = lambda items, purpose: F.get(F.array(*[F.lit(x) for x in items]), F.floor(draw(seed, purpose, *at) * len(items)).cast("int"))
+    users = entities.select("entity_id", F.explode(F.sequence(F.lit(1), F.floor(draw(seed, "count", "entity_id") * 45 + 15).cast("int"))).alias("k"))
     drawn = users.select(
-        "entity_id",
-        F.timestamp_seconds(F.lit(1767225600) + F.floor(F.rand(seed + 1) * days * 86400) + F.floor(F.rand(seed + 2) * 24) * 3600).cast("timestamp_ntz").alias("timestamp"),
-        pick(list(MERCHANTS), seed + 3).alias("counterparty"), pick(categories, seed + 4).alias("other"), F.rand(seed + 5).alias("noise"), pick(CHANNELS, seed + 6).alias("way"),
-        F.exp(F.randn(seed + 7) * 0.9 + 3.2).alias("paid"), F.rand(seed + 8).alias("odd"), F.rand(seed + 9).alias("times"),
+        *at,
+        F.timestamp_seconds(F.lit(1767225600) + F.floor(draw(seed, "second", *at) * days * 86400) + F.floor(draw(seed, "hour", *at) * 24) * 3600).cast("timestamp_ntz").alias("timestamp"),
+        pick(list(MERCHANTS), "merchant").alias("counterparty"), pick(categories, "category").alias("other"), draw(seed, "noise", *at).alias("noise"), pick(CHANNELS, "channel").alias("way"),
+        F.exp(normal(seed, "paid", *at) * 0.9 + 3.2).alias("paid"), draw(seed, "odd", *at).alias("odd"), draw(seed, "times", *at).alias("times"),
     )
     usual = F.create_map(*[F.lit(x) for pair in MERCHANTS.items() for x in pair])
     strange = F.col("odd") < 0.02
     return drawn.select(
-        "entity_id", "timestamp", F.round(F.col("paid") * F.when(strange, F.col("times") * 9 + 6).otherwise(1.0), 2).alias("amount"), F.lit("USD").alias("currency"),
+        "entity_id", "k", "timestamp", F.round(F.col("paid") * F.when(strange, F.col("times") * 9 + 6).otherwise(1.0), 2).alias("amount"), F.lit("USD").alias("currency"),
         F.when(F.col("noise") > 0.10, F.element_at(usual, F.col("counterparty"))).otherwise(F.col("other")).alias("category"),
         F.when(strange, "online").otherwise(F.col("way")).alias("channel"), "counterparty", F.lit("COMPLETED").alias("status"), strange.cast("int").alias("label"),
     )
 
 
-def provider_a(spark: SparkSession, seed: int = 42) -> DataFrame:
+def synthetic_base(spark: SparkSession, entities: int | DataFrame = 40, days: int = 90, seed: int = 42) -> DataFrame:
+    """``synthetic_for`` numbered entities, or those of a relation."""
+    ids = entities if isinstance(entities, DataFrame) else spark.range(entities).select(F.format_string("CUST%04d", "id").alias("entity_id"))
+    return synthetic_for(ids, days, seed).drop("k")
+
+
+def provider_a(spark: SparkSession, seed: int = 42, entities: int | DataFrame = 40) -> DataFrame:
     """Readable headers, ISO dates, spend as negative amounts."""
-    return synthetic_base(spark, seed=seed).select(
+    return synthetic_base(spark, entities, seed=seed).select(
         F.col("entity_id").alias("account_id"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("txn_date"), (-F.col("amount")).alias("amount"), "currency",
         F.col("category").alias("merchant_category"), F.col("channel").alias("payment_channel"), F.col("counterparty").alias("merchant_name"), F.col("status").alias("txn_status"), F.col("label").alias("is_fraud"),
     )
 
 
-def provider_b(spark: SparkSession, seed: int = 43) -> DataFrame:
+def provider_b(spark: SparkSession, seed: int = 43, entities: int | DataFrame = 40) -> DataFrame:
     """Short headers, whole cents, day-first dates, a debit mark for the sign."""
-    return synthetic_base(spark, seed=seed).select(
+    return synthetic_base(spark, entities, seed=seed).select(
         F.col("entity_id").alias("acct_no"), F.date_format("timestamp", "dd/MM/yyyy HH:mm").alias("date"), F.round(F.col("amount") * 100).cast("int").alias("amt_cents"), F.col("category").alias("mcc"),
         F.col("channel").alias("chnl"), F.col("counterparty").alias("merchant"), F.lit("DR").alias("dr_cr"), F.col("label").alias("fraud_flag"),
     )
