@@ -231,6 +231,45 @@ def schema_override(spark, d):
     return _report(spark, resolve.override(resolve.resolve(_oddly_named(spark, d)), {"channel": "payment_channel", "label": "remark"}))
 
 
+def _bank_export(spark, d) -> DataFrame:
+    """Orders under headers of which two speak of the sign, one merely near a name, and one near a name its values belie."""
+    key = F.col("o_orderkey")
+    return load(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("acct_nos"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("posted_at2"), F.floor(F.col("o_totalprice") * 100).cast("string").alias("q"),
+        F.col("o_orderpriority").alias("TransactionAmounts"), F.when(key % 10 == 0, "CR").otherwise("DR").alias("dr_cr"), F.when(key % 10 == 0, "C").otherwise("D").alias("debit_credits"),
+    )
+
+
+@query("schema_resolution_direction", _report_sql(
+    "('acct_nos', 'entity_id', 0.69, 'fuzzy_alias', 'auto_mapped_flagged')", "('posted_at2', 'timestamp', 0.71, 'fuzzy_alias', 'auto_mapped_flagged')", "('q', 'amount', 0.5, 'content_inference', 'auto_mapped_flagged')",
+    "('TransactionAmounts', NULL, 0.3, 'content_inference', 'quarantined')", "('dr_cr', '_direction (sign helper)', 0.95, 'exact_alias', 'used_for_sign_resolution')", "('debit_credits', '_direction (sign helper)', 0.72, 'fuzzy_alias', 'used_for_sign_resolution')",
+))
+def schema_resolution_direction(spark, d):
+    return _report(spark, resolve.resolve(_bank_export(spark, d)))
+
+
+@query("signed_by_direction", """SELECT CAST(o_custkey AS VARCHAR) AS entity_id, CAST(o_orderdate AS TIMESTAMP) AS "timestamp", CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE -1 END * (CAST(floor(o_totalprice * 100) AS DOUBLE) / 100) AS amount FROM orders""")
+def signed_by_direction(spark, d):
+    """What is decided about the export, applied: day first, cents, and the last column that gives a sign."""
+    raw = _bank_export(spark, d).withColumn("_row_id", F.monotonically_increasing_id())
+    found = resolve.resolve(raw.drop("_row_id"))
+    return clean.to_canonical(raw, found, resolve.conventions(raw, found)).select("entity_id", "timestamp", "amount")
+
+
+@query("convention_notes", f"""WITH {OD}, x AS (SELECT 'export' AS source, CAST(floor(o_totalprice * 100) AS DOUBLE) AS v FROM orders UNION ALL SELECT 'plain', amount FROM od UNION ALL SELECT 'bare', o_totalprice FROM orders),
+m AS (SELECT source, avg(CASE WHEN v % 1 = 0 THEN 1.0 ELSE 0.0 END) > 0.98 AND median(v) > {resolve.LARGE} AS cents, count(*) FILTER (WHERE v < 0) = 0 AS positive FROM x GROUP BY 1)
+SELECT source, 'amount' AS field, 'amounts look like cents and are divided by 100' AS assumption, 'medium' AS confidence FROM m WHERE cents
+UNION ALL SELECT source, 'amount', 'column ''debit_credits'' gives the sign', 'high' FROM m WHERE source = 'export'
+UNION ALL SELECT source, 'amount', 'neither negative amounts nor a direction column: every amount counts as spend', 'low' FROM m WHERE positive AND source <> 'export'
+UNION ALL SELECT 'export', 'timestamp', 'dates that can only be day-first', 'medium' FROM (SELECT 1 FROM orders WHERE day(o_orderdate) > 12 LIMIT 1)
+UNION ALL SELECT source, 'timestamp', 'ISO date format (YYYY-MM-DD)', 'high' FROM m WHERE source <> 'export'""")
+def convention_notes(spark, d):
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd").alias("date")
+    sources = {"export": _bank_export(spark, d), "plain": od(spark, d).select(iso("timestamp"), "amount"), "bare": load(spark, d, "orders").select(iso("o_orderdate"), F.col("o_totalprice").alias("amount"))}
+    notes = [(name, n["field"], n["assumption"], n["confidence"]) for name, df in sources.items() for n in resolve.conventions(df, resolve.resolve(df)).notes]
+    return spark.createDataFrame(notes, "source string, field string, assumption string, confidence string")
+
+
 @query("mapping_status_tally", f"SELECT status, count(*) AS n FROM ({_RESOLVED}) GROUP BY status")
 def mapping_status_tally(spark, d):
     return resolve.status_tally(schema_resolution(spark, d))
@@ -641,12 +680,25 @@ _VALUES = {"entity_id": "entity_id", "status": "top", "currency": "own", "c": "c
 _MARKS = {"{c}": "c", "{d}": "d", "{m}": "strftime(month, '%B %Y')", "{k}": "strftime(month2, '%B %Y')"}
 
 
+def ev_seconds(spark, d) -> DataFrame:
+    """Events at whole seconds: transactions of which every amount is spend."""
+    return ev(spark, d).withColumn("timestamp", F.date_trunc("SECOND", "timestamp").cast("timestamp_ntz"))
+
+
+_EVN = f"""{EV}, evn AS (SELECT * REPLACE (CAST(date_trunc('second', "timestamp") AS TIMESTAMP) AS "timestamp") FROM ev)"""
+
+
+def _unsigned(sql: str) -> str:
+    """SQL over nat as SQL over evn, with every amount as spend."""
+    return re.sub(r"\bnat\b", "evn", sql.replace(NAT, _EVN)).replace("amount < 0", "amount IS NOT NULL")
+
+
 def _by_template(f) -> str:
     return f"CASE number {' '.join(f'WHEN {i} THEN {f(t)}' for i, t in enumerate(questions.TEMPLATES))} END"
 
 
-def _output_sql(t: questions.Template) -> str:
-    sql, names = questions.adapted(t, facts.Convention(True, "any"))
+def _output_sql(t: questions.Template, signed: bool = True) -> str:
+    sql, names = questions.adapted(t, facts.Convention(signed, "any"))
     pieces = sql.split("?")
     return " || ".join([_text(pieces[0]), *[x for n, piece in zip(names, pieces[1:]) for x in (f"'''' || replace({_VALUES[n]}, '''', '''''') || ''''", _text(piece))]])
 
@@ -656,10 +708,15 @@ def _said_sql(t: questions.Template) -> str:
     return f"CASE pick {' '.join(f'WHEN {i} THEN {said(v)}' for i, v in enumerate(t.variants))} END"
 
 
-@query("nl_sql_examples", f"""WITH {ANSWERED}, {CUTS.format('nat')}, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY attempt) AS k FROM answered WHERE reference_answer IS NOT NULL) WHERE k <= {questions.PER_ENTITY}),
+def _examples_sql(answered: str, cuts: str, signed: bool) -> str:
+    by = facts.Convention(signed, "any")
+    return f"""WITH {answered}, {cuts}, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY attempt) AS k FROM answered WHERE reference_answer IS NOT NULL) WHERE k <= {questions.PER_ENTITY}),
 e AS (SELECT kept.*, own, st.top, (variant + {_hash("'0phrase'", 'entity_id', 'CAST(attempt AS VARCHAR)')} % 3) % 3 AS pick FROM kept JOIN cu USING (entity_id), st, (VALUES (0), (1), (2)) AS v(variant))
-SELECT 'query_sql' AS task, entity_id, attempt, {_by_template(_said_sql)} AS instruction, {_by_template(_output_sql)} AS output, reference_answer, {_by_template(lambda t: _text(t.kind))} AS template_kind,
- {_label('(' + _LAST.format('coalesce(greatest(month, month2), month)') + ')')} AS split, {_by_template(lambda t: _text(questions.adapted(t, facts.Convention(True, 'any'))[0]))} AS _debug_sql_template FROM e, cuts""")
+SELECT 'query_sql' AS task, entity_id, attempt, {_by_template(_said_sql)} AS instruction, {_by_template(lambda t: _output_sql(t, signed))} AS output, reference_answer, {_by_template(lambda t: _text(t.kind))} AS template_kind,
+ {_label('(' + _LAST.format('coalesce(greatest(month, month2), month)') + ')')} AS split, {_by_template(lambda t: _text(questions.adapted(t, by)[0]))} AS _debug_sql_template FROM e, cuts"""
+
+
+@query("nl_sql_examples", _examples_sql(ANSWERED, CUTS.format("nat"), True))
 def nl_sql_examples(spark, d):
     rows = nat(spark, d)
     cells = facts.cells(rows)
@@ -667,6 +724,19 @@ def nl_sql_examples(spark, d):
     return made.drop("_debug_sql_params").select("*")
 
 
+@query("nl_sql_examples_unsigned", _examples_sql(_unsigned(ANSWERED), _unsigned(CUTS.format("nat")), False))
+def nl_sql_examples_unsigned(spark, d):
+    """Over events, which have no sign: the templates lose their condition on it, and extremes turn round."""
+    rows = ev_seconds(spark, d)
+    cells = facts.cells(rows)
+    return questions.examples(cells, split.cutoffs(rows), facts.detect(cells)).drop("_debug_sql_params")
+
+
+@query("facts_unsigned", _unsigned(f"WITH {FACTS} SELECT entity_id, month, total AS total_spend, n AS transaction_count, top_category, max_amount, max_merchant, trend_direction, currency FROM facts"))
+def facts_unsigned(spark, d):
+    return facts.facts(ev_seconds(spark, d)).select("entity_id", "month", "total_spend", "transaction_count", "top_category", "max_amount", "max_merchant", "trend_direction", "currency")
+
+
 # Evaluation
 
 
