@@ -10,6 +10,8 @@ columns are read, so other columns may have any name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,14 @@ STOP_WORDS = (
     "il di che non per sono e da os em um uma não do het een van niet te"
 ).split()
 
-#: Metric, least and greatest value that a kept document may have (None: no bound). Metrics are ratios of counts.
+#: Metric, least and greatest value that a kept document may have (None: no bound). Metrics are ratios of counts. A rule with
+#: a fourth entry holds only for documents of which that metric is half or more: other scripts have words of other lengths,
+#: and no stop words in the list.
 THRESHOLDS = [
-    ("mean_word_length", 2.0, 14.0),
+    ("mean_word_length", 2.0, 14.0, "latin_ratio"),
     ("symbol_ratio", None, 0.3),
     ("letter_word_ratio", 0.7, None),
-    ("stop_word_ratio", 0.01, None),
+    ("stop_word_ratio", 0.01, None, "latin_ratio"),
     ("upper_case_ratio", None, 0.6),
     ("shout_ratio", None, 0.3),
     ("dup_line_ratio", None, 0.5),
@@ -85,6 +89,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         _count("words", lambda w: w.endswith("!!")).alias("n_shout"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).alias("n_upper"),
         F.regexp_count("t", F.lit(r"\p{L}")).alias("n_letters"),
+        F.regexp_count("t", F.lit(r"\p{IsLatin}")).alias("n_latin"),
         _count("lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$")).alias("n_ellipsis"),
         _count("lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[•●*-][\x20\x09-\x0D]")).alias("n_bullets"),
     )
@@ -95,6 +100,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         _ratio(F.col("n_letter_words"), F.col("n_words")).alias("letter_word_ratio"),
         _ratio(F.col("n_stop"), F.col("n_words")).alias("stop_word_ratio"),
         _ratio(F.col("n_upper"), F.col("n_letters")).alias("upper_case_ratio"),
+        _ratio(F.col("n_latin"), F.col("n_letters")).alias("latin_ratio"),
         _ratio(F.col("n_shout"), F.col("n_words")).alias("shout_ratio"),
         _ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
         _ratio(F.col("n_ellipsis"), F.col("n_lines")).alias("ellipsis_line_ratio"),
@@ -105,13 +111,13 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def judged(docs: DataFrame, thresholds=THRESHOLDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``measured`` with base_failed, failed (the names of the failed rules) and kept."""
     rules = []
-    for name, least, most in thresholds:
+    for name, least, most, *only in thresholds:
         fails = F.lit(False)
         if least is not None:
             fails = fails | (F.col(name) < least)
         if most is not None:
             fails = fails | (F.col(name) > most)
-        rules.append(F.when(fails, F.lit(name)))
+        rules.append(F.when(reduce(lambda a, b: a & (F.col(b) >= 0.5), only, fails), F.lit(name)))
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     failed = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
     rated = measured(docs, doc_id, text).select("*", base.alias("base_failed"), failed.alias("failed"))

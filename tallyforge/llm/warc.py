@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.shared import new_path, table
+from tallyforge.llm.shared import bitmap, maybe_in, new_path, table, written
 
 MIN_SHARED = 100
 SPLIT_BYTES = 8 << 20
@@ -66,9 +66,13 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("html"), F.sha2(body, 256).alias("digest"))
     firsts = rows.filter(F.octet_length("html") >= MIN_SHARED).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    firsts = firsts.filter("n > 1").select("digest", "first")  # few and narrow beside the pages
-    marked = rows.join(firsts, "digest", "left").withColumn("refers_to", F.when(F.col("page_id") != F.col("first"), F.col("first")))
-    marked = marked.select("page_id", "url", "html", "digest", "refers_to")
+    firsts = written(firsts.filter("n > 1").select("digest", "first", F.xxhash64("digest").alias("mark")), "warc-shared")
+    shared = bitmap(firsts, "mark")
+    marked = rows.withColumn("met", maybe_in(shared, F.xxhash64("digest")) & (F.octet_length("html") >= MIN_SHARED))
+    # Only pages whose payload some other page has too are shuffled with it.
+    met = marked.filter("met").join(firsts.select("digest", "first"), "digest", "left").withColumn("refers_to", F.when(F.col("page_id") != F.col("first"), F.col("first")))
+    columns = ["page_id", "url", "html", "digest", "refers_to"]
+    marked = marked.filter("NOT met").withColumn("refers_to", F.lit(None).cast("long")).select(columns).unionByName(met.select(columns))
     members = marked.mapInArrow(_members, "member binary")
     members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\u0000").option("compression", "none").text(path)
     _rename(spark, path)
