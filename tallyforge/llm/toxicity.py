@@ -3,12 +3,13 @@
 The lexicon is learnt from a sample of at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other labelled documents, chosen by
 hash. It has words, and stems (beginnings that many different words share), whose rate among toxic documents is at least
 ``MIN_LIFT`` times that among the others. A term must occur in several different contexts, so that copies of one
-document don't make its words toxic.
+document don't make its words toxic. Terms have three letters or more; how many there are is bounded by the sample only.
 
 Words are matched by Levenshtein automata intersected with the trie of the lexicon. The product is made deterministic
-as words are read: a state is a set of (trie node, edits), and a transition is worked out once. Short terms match
-exactly, longer ones within one or two edits; stems match exactly. Words that the sample's clean documents use are
-no misspellings.
+as words are read: a state is a set of (trie node, letter that must come next, edits), and a transition is worked out
+once. Terms of three letters match exactly, longer ones within one edit and from nine letters on two; an edit is a letter
+put in, left out or changed, or two neighbours swapped. Stems match exactly. Words that the sample's clean documents use
+are no misspellings.
 
 A hit scores by its edits and its context window: less in quotation marks or beside a word of reporting, more beside
 another hit. The sum, the largest score and the density of hits give the score by a logistic regression on the sample.
@@ -34,7 +35,6 @@ from pyspark.sql.types import DoubleType
 from tallyforge.llm.shared import fold, table, written
 
 MAX_TOXIC, MAX_CLEAN = 4000, 8000
-MAX_TERMS = 2000
 MIN_DOCS, MIN_CONTEXTS, MIN_LIFT = 5, 5, 20.0
 PREFIXES = range(4, 9)
 SKETCH = 16
@@ -48,7 +48,7 @@ EDGES = re.compile(r"^[^\w@$!*]+|[^\w@$*]+$")
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class Automaton:
@@ -76,19 +76,19 @@ class Automaton:
         self.states: list[frozenset] = []
         self.ids: dict[frozenset, int] = {}
         self.moves: list[dict[str, int]] = []
-        self.start = self._id(self._closed({0: 0}))
+        self.start = self._id(self._closed({(0, ""): 0}))
 
-    def _closed(self, found: dict[int, int]) -> frozenset:
+    def _closed(self, found: dict[tuple[int, str], int]) -> frozenset:
         """With the nodes that are reached by leaving letters out; fewest edits for each node."""
-        todo = list(found)
+        todo = [key for key in found if not key[1]]
         while todo:
-            node = todo.pop()
+            node, _ = key = todo.pop()
             for child in self.next[node].values():
-                e = found[node] + 1
-                if e <= self.most[child] and e < found.get(child, 9):
-                    found[child] = e
-                    todo.append(child)
-        return frozenset(found.items())
+                e = found[key] + 1
+                if e <= self.most[child] and e < found.get((child, ""), 9):
+                    found[child, ""] = e
+                    todo.append((child, ""))
+        return frozenset((*key, e) for key, e in found.items())
 
     def _id(self, state: frozenset) -> int:
         if state not in self.ids:
@@ -98,22 +98,28 @@ class Automaton:
         return self.ids[state]
 
     def _move(self, state: int, ch: str) -> int:
-        found: dict[int, int] = {}
+        found: dict[tuple[int, str], int] = {}
 
-        def reach(node: int, e: int) -> None:
-            if e <= self.most[node] and e < found.get(node, 9):
-                found[node] = e
+        def reach(node: int, e: int, due: str = "") -> None:
+            if e <= self.most[node] and e < found.get((node, due), 9):
+                found[node, due] = e
 
-        for node, e in self.states[state]:
+        for node, due, e in self.states[state]:
+            if due:  # the second of two swapped letters
+                if ch == due:
+                    reach(node, e)
+                continue
             if ch in self.next[node]:
                 child = self.next[node][ch]
                 if e == 0:
-                    found[child] = 0
+                    found[child, ""] = 0
                 else:
                     reach(child, e)
             reach(node, e + 1)
-            for child in self.next[node].values():
+            for first, child in self.next[node].items():
                 reach(child, e + 1)
+                if first != ch and ch in self.next[child]:
+                    reach(self.next[child][ch], e + 1, first)
         return self._id(self._closed(found))
 
     def match(self, word: str) -> int:
@@ -129,9 +135,9 @@ class Automaton:
             here = self.states[state]
             if not here:
                 return -1
-            if any(e == 0 and self.stem[n] for n, e in here):
+            if any(e == 0 and self.stem[n] for n, _, e in here):
                 return 0
-        return min((e for n, e in self.states[state] if e <= self.end[n]), default=-1)
+        return min((e for n, due, e in self.states[state] if not due and e <= self.end[n]), default=-1)
 
 
 class Matcher:
@@ -194,7 +200,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [EDGES.sub("", w) for w in (text.as_py() or "").lower().split()]
             own: dict[tuple, int] = {}
             for i, w in enumerate(words):
-                if 3 <= len(w) <= 40:
+                if len(w) >= 3:
                     if (0, w) not in own:
                         own[0, w] = xxhash.xxh32_intdigest(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}")
                         mark = xxhash.xxh32_intdigest(w)
@@ -225,7 +231,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[s
     rated = counts.groupBy("size", "term").agg(pos.alias("pos"), F.coalesce(neg, F.lit(0)).alias("neg"), marks.alias("marks"))
     lift = (F.col("pos") / n_toxic) / ((F.col("neg") + 0.5) / n_clean)
     good = rated.filter((F.col("pos") >= MIN_DOCS) & (F.col("marks") >= MIN_CONTEXTS) & (lift >= MIN_LIFT))
-    rows = good.orderBy(F.desc("pos"), "size", "term").limit(MAX_TERMS * 10).collect()
+    rows = good.orderBy(F.desc("pos"), "size", "term").collect()  # of the bounded sample, in which each is in MIN_DOCS texts
     found = {(r["size"], r["term"]): r["pos"] for r in rows}
     # The longest stem that loses no document, and no stem within another. ``beyond``: of stems one letter longer, the most
     # documents.
@@ -239,7 +245,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[s
         if size and beyond.get(term, 0) < docs and not starts(term):
             stems[term] = None
     words = [t for size, t in found if size == 0 and not starts(t)]
-    return words[:MAX_TERMS], list(stems)[:MAX_TERMS]
+    return words, list(stems)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -312,7 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def scored(spark: SparkSession, model: Model, text: Column) -> Column:
-    shared = spark.sparkContext.broadcast(model)  # a lexicon of at most MAX_TERMS words and stems, and words near them
+    shared = spark.sparkContext.broadcast(model)  # the sample's lexicon, and the words near it
 
     @F.arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:

@@ -185,12 +185,16 @@ def test_mixing(spark):
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
+    """Letters put in, left out or changed, and neighbours swapped."""
+    d = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        row, last = [i], row
+        d.append([i])
         for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+            best = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                best = min(best, d[i - 2][j - 2] + 1)
+            d[i].append(best)
+    return d[-1][-1]
 
 
 def test_automaton():
@@ -199,7 +203,10 @@ def test_automaton():
     for _ in range(4000):
         w = list(r.choice(words))
         for _ in range(r.randint(0, 3)):
-            k, at = r.randrange(3), r.randrange(len(w) + 1)
+            k, at = r.randrange(4), r.randrange(len(w) + 1)
+            if k == 3:
+                w[at : at + 2] = w[at : at + 2][::-1]
+                continue
             w[at : at + (k != 0)] = [r.choice("abcdiot1")] if k != 2 else []
         w = "".join(w)
         near = [edits(w, t) for t in words if edits(w, t) <= toxicity.edits_allowed(t)]
