@@ -21,9 +21,9 @@ bit more in a segment and a tenth more segments keep both.
 
 Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
 last text of each table entry are compared, of ``FIRST`` segments first and then of the others; of entries with more,
-one text of each group that has any there with one of these, chosen by hash, in ``STARS`` rounds, and after these all
-pairs of an entry that are still in different groups and can be similar: a text of which too few shingles are in any other
-such text is similar to none, so it is left out before there are pairs. So a large group of near copies costs few
+one text of each group that has any there with one of these, chosen by hash, in ``STARS`` rounds. The texts whose entries
+then still hold different groups meet by their rarest shingles: two similar ones share one of these, and what many texts
+have in common isn't among them. So a large group of near copies, or a passage that many texts hold, costs few
 comparisons, and no link that can be is left out.
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
@@ -54,6 +54,8 @@ SIMILARITY = 0.8
 SEGMENTS, SEGMENT_BITS, SOFT = 20, 28, 3
 SOFT_AT = 33  # bit from which on a segment's word has the places of its least certain bits
 FIRST, STARS = 2, 1
+#: Shingles in more texts than RARE, up to FREQUENT of them, stand last in the order by which texts meet.
+RARE, FREQUENT = 4, 500_000
 SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SEGMENTS * SEGMENT_BITS // 8, np.int64).astype(np.uint64)
 SKETCH = StructType([StructField("fp", LongType()), StructField("segs", ArrayType(LongType()))])
 NAMES = ["k_null", "k_id", "k_text"]
@@ -211,6 +213,26 @@ def _entries_in(shared):
     return entries
 
 
+def _heads(shared, similarity: float):
+    """The first shingles of each text, of which similar ones share one. ``shared``: frequent shingles and their counts."""
+
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def heads(sets: pa.Array) -> pa.Array:
+        hashes, counts = shared.value
+        order = np.argsort(hashes)
+        hashes, counts = hashes[order], counts[order]
+        out = []
+        for x in sets:
+            own = x.values.to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
+            often = np.where(hashes[at] == own, counts[at], 0) if len(hashes) else np.zeros(len(own), np.int64)
+            first = len(own) - int(np.ceil(len(own) * similarity - 1e-9)) + 1
+            out.append(own[np.lexsort((own, often))[:first]])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return heads
+
+
 class _Verifier:
     """Verifies pairs of texts: by the complete distance of their fingerprints, then by their shingles, which are made for
     such texts only."""
@@ -235,17 +257,27 @@ class _Verifier:
             marks.destroy()
             self.sets = made if self.sets is None else self.sets.union(made)
 
-    def common(self, fps: DataFrame) -> DataFrame:
-        """Rows (fp, n, c): the number of a text's shingles, and of those that any other of ``fps`` has too."""
-        self.make(fps)
-        own = self.sets.join(fps, "fp", "left_semi")
-        met = own.select("fp", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("texts"), F.min("fp").alias("fp"))
-        alone = met.filter("texts = 1").groupBy("fp").agg(F.count("*").alias("alone"))
-        return own.select("fp", F.size("hashes").alias("n")).join(alone, "fp", "left").selectExpr("fp", "n", "n - coalesce(alone, 0) AS c")
-
-    def can_be(self, c: str, n_a: str, n_b: str) -> Column:
-        """Whether two texts of so many shingles can be similar that share ``c`` at most."""
-        return F.expr(f"{c} >= {self.similarity} * ({n_a} + greatest({c}, {n_b}) - {c})")
+    def by_rare_shingles(self, texts: DataFrame) -> DataFrame:
+        """``texts``: rows (fp, root). Pairs (a, b) of different roots, among them all that are similar: if shingles are put in
+        one order, two similar texts share one of their first n - similarity * n + 1. In the order used the FREQUENT most
+        frequent stand last (any order is right), so those that only share a frequent passage don't meet. Of each shingle
+        the texts of its largest group meet the others only."""
+        self.make(texts.select("fp"))
+        own = written(self.sets.join(texts, "fp").select("fp", "root", "hashes"), "simhash-open")
+        counts = own.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("f")).filter(f"f > {RARE}")
+        frequent = counts.orderBy(F.desc("f"), "hash").limit(FREQUENT).toArrow()  # FREQUENT rows at most
+        shared = own.sparkSession.sparkContext.broadcast((frequent["hash"].to_numpy(), frequent["f"].to_numpy()))
+        heads = own.select("fp", "root", F.size("hashes").alias("n"), F.posexplode(_heads(shared, self.similarity)(F.col("hashes"))).alias("at", "hash"))
+        # ``left``: how many of a text's shingles stand behind this one
+        heads = written(heads.select("fp", "root", "n", "hash", (F.col("n") - F.col("at") - 1).alias("left")), "simhash-heads")
+        shared.destroy()
+        groups = heads.groupBy("hash", "root").agg(F.count("*").alias("rows")).groupBy("hash").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("rows", "root")).alias("main"))
+        rest = heads.join(groups.filter("roots > 1").select("hash", "main"), "hash").filter("root != main")
+        rest = rest.select("hash", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+        both = rest.join(heads.withColumnRenamed("fp", "b"), "hash").filter("root_a != root")
+        need = self.similarity / (1 + self.similarity) * (F.col("n_a") + F.col("n"))
+        fits = (F.least("n_a", "n") >= self.similarity * F.greatest("n_a", "n")) & (1 + F.least("left_a", "left") >= need)
+        return both.filter(fits).select("a", "b")
 
     def __call__(self, pairs: DataFrame) -> DataFrame | None:
         side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
@@ -285,7 +317,7 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
     if larger.isEmpty():
         return roots
     keys = bitmap(larger, "key")
-    members = sketches.select("fp", F.explode(_entries_in(keys)(F.col("segs"))).alias("key")).join(larger, "key")
+    members = sketches.select("fp", F.explode(_entries_in(keys)(F.col("segs"))).alias("key"))  # and a few others by chance
     members = written(members, "simhash-members")
     keys.destroy()
     for k in range(STARS + 1):
@@ -295,19 +327,10 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
             rooted = rooted.groupBy("key", "root").agg(F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("fp"))
         hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k), F.pmod("key", F.lit(4))))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
-        open_ = rooted.join(mixed.select("key", "hub"), "key")
         if k < STARS:
-            pairs = open_.filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
-        else:  # every pair has a side outside the entry's largest group
-            open_ = written(open_.select("key", "fp", "root"), "simhash-open")
-            open_ = written(open_.join(verify.common(open_.select("fp").distinct()), "fp"), "simhash-open")
-            sizes = open_.groupBy("key", "root").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
-            main = sizes.groupBy("key").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.min("least").alias("least"))
-            # A text that shares too few shingles with all others together is similar to none.
-            rest = open_.join(main, "key").filter("root != main").filter(verify.can_be("c", "n", "least"))
-            rest = rest.select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-            both = rest.join(open_.withColumnRenamed("fp", "b"), "key").filter("root_a != root")
-            pairs = both.filter(verify.can_be("least(c, c_a)", "n_a", "n")).select("a", "b")
+            pairs = rooted.join(mixed.select("key", "hub"), "key").filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+        else:
+            pairs = verify.by_rare_shingles(rooted.join(mixed.select("key"), "key", "left_semi").select("fp", "root").distinct())
         pairs = written(ordered(pairs), "simhash-pairs")
         if pairs.isEmpty():
             break
