@@ -536,9 +536,15 @@ def list_txns(spark, d):
     return facts.listing(od(spark, d))
 
 
-@query("list_txns_all", _listed_sql(EV, "ev"))
+@query("list_txns_all", _listed_sql(NAT, "nat"))
 def list_txns_all(spark, d):
-    """The same over events."""
+    """The same by nation."""
+    return facts.listing(nat(spark, d))
+
+
+@query("list_txns_events", _listed_sql(EV, "ev"))
+def list_txns_events(spark, d):
+    """The same over events, which have no sign."""
     return facts.listing(ev(spark, d))
 
 
@@ -547,9 +553,15 @@ def list_txns_category(spark, d):
     return facts.listing_by_category(od(spark, d))
 
 
-@query("list_txns_category_all", _by_category_sql(EV, "ev"))
+@query("list_txns_category_all", _by_category_sql(NAT, "nat"))
 def list_txns_category_all(spark, d):
-    """The same over events."""
+    """The same by nation."""
+    return facts.listing_by_category(nat(spark, d))
+
+
+@query("list_txns_category_events", _by_category_sql(EV, "ev"))
+def list_txns_category_events(spark, d):
+    """The same over events, which have no sign."""
     return facts.listing_by_category(ev(spark, d))
 
 
@@ -820,8 +832,15 @@ def oversample_minority(spark, d):
     return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
 
 
-@query("oversample_minority_all", f"WITH {OD}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN _row_id % 41 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM od)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
+@query("oversample_minority_all", f"WITH {EV}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN category = 'purchase' AND _row_id % 13 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM ev)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
 def oversample_minority_all(spark, d):
+    """All events, of which some purchases count as the scarce class."""
+    rows = ev(spark, d).select("_row_id", F.when((F.col("category") == "purchase") & (F.col("_row_id") % 13 == 0), "scarce").otherwise("other").alias("kind"))
+    return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
+
+
+@query("oversample_orders", f"WITH {OD}, " + _copies_sql("r AS (SELECT _row_id, CASE WHEN _row_id % 41 = 0 THEN 'scarce' ELSE 'other' END AS kind FROM od)", "kind = 'scarce'", "CAST(floor((n - s) * CAST(0.15 AS DOUBLE) / CAST(0.85 AS DOUBLE)) AS BIGINT) - s"))
+def oversample_orders(spark, d):
     """All orders, of which one in 41 counts as the scarce class."""
     rows = od(spark, d).select("_row_id", F.when(F.col("_row_id") % 41 == 0, "scarce").otherwise("other").alias("kind"))
     return evaluate.oversample_minority(rows, "kind", "scarce").select("_row_id", "copy")
@@ -906,9 +925,15 @@ def perplexity(spark, d):
     return ev(spark, d).select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 10), 3).alias("perplexity"))
 
 
-@query("perplexity_all", """WITH l AS (SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(20,4))) AS DOUBLE) / count(*) / 2 AS loss FROM lineitem GROUP BY 1)
-SELECT l_orderkey, CASE WHEN loss < 20 THEN round(exp(loss), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM l""")
+@query("perplexity_all", f"WITH {EV} SELECT _row_id, CASE WHEN amount / 5 < 20 THEN round(exp(amount / 5), 2) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM ev")
 def perplexity_all(spark, d):
+    """Of losses twice as large."""
+    return ev(spark, d).select("_row_id", F.round(evaluate.perplexity(F.col("amount") / 5), 2).alias("perplexity"))
+
+
+@query("perplexity_orders", """WITH l AS (SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(20,4))) AS DOUBLE) / count(*) / 2 AS loss FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CASE WHEN loss < 20 THEN round(exp(loss), 3) ELSE CAST('inf' AS DOUBLE) END AS perplexity FROM l""")
+def perplexity_orders(spark, d):
     """Of mean losses: half the quantities of each order's lines."""
     loss = F.sum(parsing.money(F.col("l_quantity"))).cast("double") / F.count("*") / 2
     lines = load(spark, d, "lineitem").groupBy("l_orderkey").agg(loss.alias("loss"))
