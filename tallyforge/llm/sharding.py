@@ -85,8 +85,8 @@ def write_shards(docs: DataFrame, path: str | None = None, n_shards: int = 16, d
     path = path or new_path(docs.sparkSession, "shards")
     content = F.coalesce(F.col("text"), F.lit(""))
     plan = shard_plan(docs, n_shards, doc_id)
-    mark = [F.coalesce(F.col(doc_id), F.lit(-1)), F.octet_length(content).cast("long") + 1, F.crc32(content.cast("binary"))]
-    plan_mark = [F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("size"), F.col("text_crc32")]
+    mark = [F.coalesce(F.col(doc_id), F.lit(-1).cast(docs.schema[doc_id].dataType)), F.octet_length(content).cast("long") + 1, F.crc32(content.cast("binary"))]
+    plan_mark = [F.coalesce(F.col("doc_id"), F.lit(-1).cast(docs.schema[doc_id].dataType)), F.col("size"), F.col("text_crc32")]
     nth = lambda cols: F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(0)))
     left = docs.select(F.struct("*").alias("doc"), *[c.alias(f"k{i}") for i, c in enumerate(mark)])
     left = left.withColumn("nth", nth(["k0", "k1", "k2"]))

@@ -345,7 +345,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """The documents without near copies: of each group linked by similarity the row with the smallest id stays (null ids
     last; among rows of that id the one with the smallest text hash, once if it is repeated). All columns are kept; a
     text of fewer than ``width`` words is one shingle, and blank texts are copies of each other."""
-    key = [F.col(doc_id).isNull(), F.coalesce(F.col(doc_id), F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
+    key = [F.col(doc_id).isNull(), F.coalesce(F.col(doc_id), F.lit(0).cast(docs.schema[doc_id].dataType)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
     columns = [c.alias(n) for c, n in zip(key, NAMES)] + [F.xxhash64(*key).alias("mark")]
     marked = docs.select(*columns, _sketched(width)(F.col(text).cast("string")).alias("s")).select(*NAMES, "mark", "s.*")
     marked = written(marked, "simhash-sketches")

@@ -2,7 +2,7 @@
 
 import random
 
-from tallyforge.llm import simhash
+from tallyforge.llm import sharding, simhash
 
 
 def test_recall_just_above_the_limit(spark):
@@ -41,3 +41,12 @@ def test_texts_with_a_common_passage_meet_by_what_is_rare(spark):
     verify.sets, verify.make = sets, lambda fps: None
     found = {tuple(sorted((x["a"], x["b"]))) for x in verify.by_rare_shingles(sets.selectExpr("fp", "fp AS root")).collect()}
     assert pairs <= found and len(found) <= 2 * len(pairs), "not all pairs of the passage's texts"
+
+
+def test_string_ids(spark):
+    """Ids of any type that can be ordered: the smallest of each group stays, a null id last."""
+    rows = [("b2", "one two three four five six seven"), ("a1", "one two three four five six seven"), (None, "one two three four five six seven"), ("c3", "something else that has nothing in common")]
+    df = spark.createDataFrame([(*r, "web") for r in rows], "doc_id string, text string, source string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == ["a1", "c3"]
+    path = sharding.write_shards(df, n_shards=2)
+    assert sorted(str(r["doc"]["doc_id"]) for r in spark.read.parquet(path).collect()) == ["None", "a1", "b2", "c3"]
