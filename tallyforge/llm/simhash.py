@@ -325,12 +325,14 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
         rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", root) if roots else members.select("key", "fp", F.col("fp").alias("root"))
         if k < STARS:
             rooted = rooted.groupBy("key", "root").agg(F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("fp"))
+        rooted = written(rooted, "simhash-rooted")
         hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k), F.pmod("key", F.lit(4))))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
         if k < STARS:
             pairs = rooted.join(mixed.select("key", "hub"), "key").filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
         else:
-            pairs = verify.by_rare_shingles(rooted.join(mixed.select("key"), "key", "left_semi").select("fp", "root").distinct())
+            texts = rooted.join(mixed.select("key"), "key", "left_semi").select("fp", "root").distinct()
+            pairs = verify.by_rare_shingles(written(texts, "simhash-texts"))
         pairs = written(ordered(pairs), "simhash-pairs")
         if pairs.isEmpty():
             break
