@@ -50,6 +50,11 @@ def _ratio(count: Column, of: Column) -> Column:
     return F.when(of > 0, count / of).otherwise(F.lit(0.0))
 
 
+def _kept(text: str, pattern: str) -> Column:
+    """How many characters are left without the pattern's matches."""
+    return F.char_length(F.regexp_replace(text, pattern, ""))
+
+
 def _count(items: str, test) -> Column:
     return F.size(F.filter(F.col(items), test))
 
@@ -87,9 +92,9 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         _count("words", lambda w: w.rlike(r"\p{L}")).alias("n_letter_words"),
         _count("words", lambda w: F.lower(w).isin(STOP_WORDS)).alias("n_stop"),
         _count("words", lambda w: w.endswith("!!")).alias("n_shout"),
-        F.regexp_count("t", F.lit(r"\p{Lu}")).alias("n_upper"),
-        F.regexp_count("t", F.lit(r"\p{L}")).alias("n_letters"),
-        F.regexp_count("t", F.lit(r"\p{IsLatin}")).alias("n_latin"),
+        _kept("t", r"\P{Lu}+").alias("n_upper"),
+        _kept("t", r"\P{L}+").alias("n_letters"),
+        _kept("t", r"\P{IsLatin}+").alias("n_latin"),
         _count("lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$")).alias("n_ellipsis"),
         _count("lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[•●*-][\x20\x09-\x0D]")).alias("n_bullets"),
     )
