@@ -32,6 +32,7 @@ MIN_TILE = 5
 THRESHOLD = 0.5
 BLOCK_TOKENS = 2_000_000
 FIRST_LENGTH = 32
+REMEMBERED, SHORT = 100_000, 64  # words that a worker remembers, and their greatest length
 BASE = np.uint64(0x9E3779B97F4A7C15)
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 TILE = StructType([StructField("doc_at", IntegerType()), StructField("item_at", IntegerType()), StructField("length", IntegerType())])
@@ -111,9 +112,11 @@ class Block:
     def _number(self, raw: str) -> int:
         """The token's number, -1 for one of no item, -2 for no token."""
         word = EDGES.sub("", raw)
-        if len(self.cache) > 300_000:
-            self.cache.clear()
-        found = self.cache[raw] = self.numbers.get(word, -1) if word else -2
+        found = self.numbers.get(word, -1) if word else -2
+        if len(raw) <= SHORT:
+            if len(self.cache) >= REMEMBERED:
+                self.cache.clear()
+            self.cache[raw] = found
         return found
 
     def matches(self, text: str | None, threshold: float) -> list[dict]:
