@@ -45,6 +45,7 @@ OPENING, CLOSING = "\"“„«", "\"”“»"
 #: Words that report what others said.
 REPORTING = set("said says quoted quote called word term sagte zitat nannte wort dit cité appelé mot dijo cita llamó palabra".split())
 EDGES = re.compile(r"^[^\w@$!*]+|[^\w@$*]+$")
+DEAD, STEM = -1, -2
 
 
 def edits_allowed(term: str) -> int:
@@ -75,7 +76,8 @@ class Automaton:
         self.alphabet = {ch for x in self.next for ch in x}
         self.states: list[frozenset] = []
         self.ids: dict[frozenset, int] = {}
-        self.moves: list[dict[str, int]] = []
+        self.moves: list[dict[str, int]] = []  # to a state that decides the word whatever follows: DEAD or STEM
+        self.ended: list[int] = []  # what a word that ends in a state gets
         self.start = self._id(self._closed({(0, ""): 0}))
 
     def _closed(self, found: dict[tuple[int, str], int]) -> frozenset:
@@ -91,10 +93,16 @@ class Automaton:
         return frozenset((*key, e) for key, e in found.items())
 
     def _id(self, state: frozenset) -> int:
+        if not state:
+            return DEAD
         if state not in self.ids:
-            self.ids[state] = len(self.states)
-            self.states.append(state)
-            self.moves.append({})
+            if any(e == 0 and self.stem[n] for n, _, e in state):
+                self.ids[state] = STEM
+            else:
+                self.ids[state] = len(self.states)
+                self.states.append(state)
+                self.moves.append({})
+                self.ended.append(min((e for n, due, e in state if not due and e <= self.end[n]), default=-1))
         return self.ids[state]
 
     def _move(self, state: int, ch: str) -> int:
@@ -124,20 +132,18 @@ class Automaton:
 
     def match(self, word: str) -> int:
         """The fewest edits from a term (0 for a stem); -1 if none is near enough."""
-        state = self.start
+        state, all_moves = self.start, self.moves
         for ch in word:
-            if ch not in self.alphabet:
-                ch = "\0"
-            moves = self.moves[state]
-            if ch not in moves:
-                moves[ch] = self._move(state, ch)
-            state = moves[ch]
-            here = self.states[state]
-            if not here:
-                return -1
-            if any(e == 0 and self.stem[n] for n, _, e in here):
-                return 0
-        return min((e for n, due, e in self.states[state] if not due and e <= self.end[n]), default=-1)
+            to = all_moves[state].get(ch)
+            if to is None:
+                key = ch if ch in self.alphabet else "\0"
+                to = all_moves[state].get(key)
+                if to is None:
+                    to = all_moves[state][key] = self._move(state, key)
+            if to < 0:
+                return -1 if to == DEAD else 0
+            state = to
+        return self.ended[state]
 
 
 class Matcher:
