@@ -62,29 +62,33 @@ class _Shape(dict):
         return self[code]
 
 
-class Features:
-    """Buckets of words, remembered for words that come again."""
+class _Places(dict):
+    """From a word to its bucket and, 16 bits up, that of its shape; remembered for words that come again."""
 
     def __init__(self):
-        self.seen: dict[str, int] = {}
         self.shape = _Shape()
 
-    def _places(self, word: str) -> int:
-        """The bucket of the word and, 16 bits up, that of its shape."""
-        if len(self.seen) > 300_000:
-            self.seen.clear()
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
         shape = RUNS.sub(r"\1", word.translate(self.shape))
-        got = xxhash.xxh32_intdigest(word.lower(), SEED) % WORD_BUCKETS | (WORD_BUCKETS + xxhash.xxh32_intdigest(shape, SEED) % SHAPE_BUCKETS) << 16
-        self.seen[word] = got
-        return got
+        self[word] = xxhash.xxh32_intdigest(word.lower(), SEED) % WORD_BUCKETS | (WORD_BUCKETS + xxhash.xxh32_intdigest(shape, SEED) % SHAPE_BUCKETS) << 16
+        return self[word]
+
+
+class Features:
+    """Buckets of words. Their counts are taken from the sorted buckets of a text: an array for all buckets costs more than
+    most texts."""
+
+    def __init__(self):
+        self.seen = _Places()
 
     def __call__(self, text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of words; buckets and their weights, log(1 + count)."""
-        words, get = (text or "").split(), self.seen.get
-        pairs = np.fromiter((get(w) or self._places(w) for w in words), np.int64, len(words))
-        counts = np.bincount(pairs & 0xFFFF, minlength=WORD_BUCKETS + SHAPE_BUCKETS) + np.bincount(pairs >> 16, minlength=WORD_BUCKETS + SHAPE_BUCKETS)
-        places = np.flatnonzero(counts)
-        return len(words), places, np.log1p(counts[places])
+        words = (text or "").split()
+        both = np.fromiter(map(self.seen.__getitem__, words), np.uint32, len(words)).view(np.uint16)  # of words and of shapes
+        places, counts = np.unique(both, return_counts=True)
+        return len(words), places.astype(np.int64), np.log1p(counts)
 
 
 def _passes(w: np.ndarray, y: np.ndarray, sizes: np.ndarray, places: np.ndarray, values: np.ndarray, rounds: int = PASSES) -> np.ndarray:

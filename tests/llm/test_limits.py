@@ -1,11 +1,15 @@
 """What holds memory and time down: sizes of batches, words remembered."""
 
+import tracemalloc
+from collections import Counter
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 import corpus_pipeline
-from tallyforge.llm import decontaminate
+from tallyforge.llm import decontaminate, mixing
 
 
 def test_pipeline_hands_python_small_batches(spark):
@@ -38,3 +42,18 @@ def test_decontaminate_remembers_a_bounded_number_of_short_words(monkeypatch):
     text = " ".join([f"w{i}" for i in range(100)] + [long, item, long])
     assert [m["item_id"] for m in block.matches(text, 0.5)] == [1]
     assert len(block.cache) <= 10 and long not in block.cache
+
+
+def test_mixing_counts_short_texts_without_an_array_for_all_buckets():
+    make = mixing.Features()
+    text = "The cat saw THE dog, and 12 cats saw the Dog."
+    words, places, values = make(text)
+    tally = Counter(at for w in text.split() for at in divmod(make.seen[w], 1 << 16)[::-1])
+    assert words == 11 and dict(zip(places.tolist(), values.tolist())) == {at: np.log1p(n) for at, n in tally.items()}
+    assert places.tolist() == sorted(tally)
+    tracemalloc.start()
+    try:
+        make(text)
+        assert tracemalloc.get_traced_memory()[1] < 50_000  # 405,504 for three arrays of all buckets
+    finally:
+        tracemalloc.stop()
