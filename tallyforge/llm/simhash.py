@@ -19,12 +19,15 @@ themselves. A pair of similarity 0.8 is met with a chance of 0.96, one of 0.85 o
 SEGMENT_BITS suits up to 30 million different texts or so (unrelated ones then rarely meet); for each doubling beyond, a
 bit more in a segment and a tenth more segments keep both.
 
-Only groups are asked for, so texts that are in one group already aren't compared with each other. The first and the
-last text of each table entry are compared, of ``FIRST`` segments first and then of the others; of entries with more,
-one text of each group that has any there with one of these, chosen by hash, in ``STARS`` rounds. The texts whose entries
-then still hold different groups meet by their rarest shingles: two similar ones share one of these, and what many texts
-have in common isn't among them. So a large group of near copies, or a passage that many texts hold, costs few
-comparisons, and no link that can be is left out.
+Only groups are asked for, so texts that are in one group already aren't compared with each other. Of the texts that
+share table entries with two others or more, those shingles are counted that another of them has: two texts can't have more
+in common than either has with all, so a text with too few is compared with none of them, and a pair with too few isn't
+compared. The first and the last text of each entry are compared, of ``FIRST`` segments first and then of the others; of
+entries with more, one text of each group that has any there with the one of these that has the greatest share in common
+with others, in ``STARS`` rounds: the text that a group's others were made from has all in common, and meets them first. The
+texts whose entries then still hold different groups meet by their rarest shingles: two similar ones share one of these,
+and what many texts have in common isn't among them. So a large group of near copies, or a passage that many texts
+hold, costs few comparisons, and no link that can be is left out.
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; repeated rows and equal texts
 share a fingerprint and so a component; null ids belong to components but don't name them, unless all ids of a
@@ -275,9 +278,21 @@ class _Verifier:
         rest = heads.join(groups.filter("roots > 1").select("hash", "main"), "hash").filter("root != main")
         rest = rest.select("hash", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
         both = rest.join(heads.withColumnRenamed("fp", "b"), "hash").filter("root_a != root")
-        need = self.similarity / (1 + self.similarity) * (F.col("n_a") + F.col("n"))
-        fits = (F.least("n_a", "n") >= self.similarity * F.greatest("n_a", "n")) & (1 + F.least("left_a", "left") >= need)
-        return both.filter(fits).select("a", "b")
+        return both.filter(self.fits(F.col("n_a"), F.col("n"), 1 + F.col("left_a"), 1 + F.col("left"))).select("a", "b")
+
+    def fits(self, n_a: Column, n_b: Column, most_a: Column, most_b: Column) -> Column:
+        """Whether sets of these sizes can be similar, if they have no more in common than either has at ``most``."""
+        need = self.similarity / (1 + self.similarity) * (n_a + n_b) - 1e-9
+        return (F.least(n_a, n_b) >= self.similarity * F.greatest(n_a, n_b) - 1e-9) & (F.least(most_a, most_b) >= need)
+
+    def bounds(self, fps: DataFrame) -> DataFrame:
+        """``fps``: distinct texts. Rows (fp, n, common): its shingles, and how many of them another of these texts has."""
+        self.make(fps)
+        own = self.sets.join(fps, "fp")
+        each = own.select("fp", F.explode("hashes").alias("hash"))
+        shared = each.groupBy("hash").agg(F.count("*").alias("f")).filter("f > 1").select("hash")
+        common = each.join(shared, "hash").groupBy("fp").agg(F.count("*").alias("common"))
+        return own.select("fp", F.size("hashes").alias("n")).join(common, "fp", "left").select("fp", "n", F.coalesce("common", F.lit(0)).alias("common"))
 
     def __call__(self, pairs: DataFrame) -> DataFrame | None:
         side = lambda c: self.sketches.select(F.col("fp").alias(c), F.col("segs").alias(f"s_{c}"))
@@ -303,9 +318,28 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
     spread = sketches.repartition(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few rows become many
     buckets = _entries(spread).groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     buckets = written(buckets, "simhash-buckets")
-    links = roots = None
+    links = roots = members = None
+    larger, first = buckets.filter("n > 2").select("key"), buckets.filter("n = 2").select("key", "a", "b")
+    crowded = not larger.isEmpty()
+    if crowded:
+        keys = bitmap(larger, "key")
+        members = sketches.select("fp", _entries_in(keys)(F.col("segs")).alias("keys"))  # and a few others by chance
+        members = written(members.filter(F.size("keys") > 0), "simhash-members")
+        keys.destroy()
+        bounds = written(verify.bounds(members.select("fp")), "simhash-bounds")
+        side = lambda c: bounds.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}"), F.col("common").alias(f"common_{c}"))
+        can = verify.fits(F.col("n_a"), F.col("n_b"), F.col("common_a"), F.col("common_b"))
+        first = first.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(F.coalesce(can, F.lit(True))).select("key", "a", "b")
+        able = bounds.filter(F.col("common") >= verify.similarity * F.col("n") - 1e-9)
+        # ``text`` compares by the share in common
+        share = F.coalesce(F.col("common") / F.col("n"), F.lit(0.0))
+        members = members.join(able, "fp").select("fp", "keys", F.struct(share.alias("share"), F.xxhash64("fp").alias("mark"), "fp", "n", "common").alias("text"))
+        members = written(members, "simhash-able")
+        fits = lambda a, b: verify.fits(F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.common"), F.col(f"{b}.common"))
+        ends = members.select("text", F.explode("keys").alias("key")).groupBy("key").agg(F.min_by("text", "text.fp").alias("a"), F.max_by("text", "text.fp").alias("b")).filter("a.fp != b.fp")
+        first = written(first.union(ends.filter(fits("a", "b")).select("key", "a.fp", "b.fp")), "simhash-ends")
     for segment in (f"key < {FIRST << SEGMENT_BITS}", f"key >= {FIRST << SEGMENT_BITS}"):
-        pairs = ordered(buckets.filter(segment))
+        pairs = ordered(first.filter(segment))
         if roots:
             side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}"))  # noqa: B023, E731
             pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter("coalesce(r_a, a) != coalesce(r_b, b)").select("a", "b")
@@ -313,30 +347,22 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
         if found:
             links = found if links is None else links.union(found)
             roots = components(links, "simhash-stars")
-    larger = buckets.filter("n > 2").select("key")
-    if larger.isEmpty():
-        return roots
-    keys = bitmap(larger, "key")
-    members = sketches.select("fp", F.explode(_entries_in(keys)(F.col("segs"))).alias("key"))  # and a few others by chance
-    members = written(members, "simhash-members")
-    keys.destroy()
-    for k in range(STARS + 1):
+    for k in range(STARS + 1) if crowded else ():
         root = F.coalesce("root", "fp").alias("root")
-        rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", root) if roots else members.select("key", "fp", F.col("fp").alias("root"))
+        rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", root) if roots else members.withColumn("root", F.col("fp"))
+        rooted = rooted.select("text", "root", F.explode("keys").alias("key"))
         if k < STARS:
-            rooted = rooted.groupBy("key", "root").agg(F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("fp"))
+            rooted = rooted.groupBy("key", "root").agg(F.max("text").alias("text"))
         rooted = written(rooted, "simhash-rooted")
-        hub = F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k), F.pmod("key", F.lit(4))))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub.alias("hub")).filter("low != high")
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("text", "root")).alias("hub")).filter("low != high")
         if k < STARS:
-            pairs = rooted.join(mixed.select("key", "hub"), "key").filter("root != hub.root").select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+            met = rooted.join(mixed.select("key", F.col("hub.root").alias("other"), F.col("hub.text").alias("hub")), "key").filter("root != other")
+            pairs = met.filter(fits("text", "hub")).select(F.col("text.fp").alias("a"), F.col("hub.fp").alias("b"))
         else:
-            texts = rooted.join(mixed.select("key"), "key", "left_semi").select("fp", "root").distinct()
+            texts = rooted.join(mixed.select("key"), "key", "left_semi").select("text.fp", "root").distinct()
             pairs = verify.by_rare_shingles(written(texts, "simhash-texts"))
         pairs = written(ordered(pairs), "simhash-pairs")
-        if pairs.isEmpty():
-            break
-        found = verify(pairs)
+        found = None if pairs.isEmpty() else verify(pairs)
         if found:
             links = found if links is None else links.union(found)
             roots = components(links, "simhash-stars")
