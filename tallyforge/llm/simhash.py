@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from tallyforge.llm.components import components
 from tallyforge.llm.shared import bitmap, in_bitmap, maybe_in, table, written
@@ -216,6 +216,16 @@ def _entries_in(shared):
     return entries
 
 
+def _any_in(shared):
+    """Whether a bitmap lets any of a text's keys through."""
+
+    @F.arrow_udf(BooleanType())
+    def found(keys: pa.Array) -> pa.Array:
+        return pa.array([bool(in_bitmap(shared.value, x.values.to_numpy(zero_copy_only=False)).any()) for x in keys], pa.bool_())
+
+    return found
+
+
 def _heads(shared, similarity: float):
     """The first shingles of each text, of which similar ones share one. ``shared``: frequent shingles and their counts."""
 
@@ -348,19 +358,21 @@ def similar_groups(sketches: DataFrame, verify: _Verifier) -> DataFrame | None:
             links = found if links is None else links.union(found)
             roots = components(links, "simhash-stars")
     for k in range(STARS + 1) if crowded else ():
-        root = F.coalesce("root", "fp").alias("root")
-        rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", root) if roots else members.withColumn("root", F.col("fp"))
-        rooted = rooted.select("text", "root", F.explode("keys").alias("key"))
-        if k < STARS:
-            rooted = rooted.groupBy("key", "root").agg(F.max("text").alias("text"))
-        rooted = written(rooted, "simhash-rooted")
+        with_root = lambda df: (df.join(roots.withColumnRenamed("node", "fp"), "fp", "left") if roots else df.withColumn("root", F.col("fp"))).withColumn("root", F.coalesce("root", "fp"))  # noqa: B023, E731
+        if k == 0:
+            rooted = with_root(members).select("root", "text", F.explode("keys").alias("key"))
+        else:  # groups only grow, so one text of each that an entry had tells those that it has now
+            rooted = with_root(rooted.select("key", "text", "text.fp"))
+        rooted = written(rooted.groupBy("key", "root").agg(F.max("text").alias("text")), "simhash-rooted")
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("text", "root")).alias("hub")).filter("low != high")
         if k < STARS:
             met = rooted.join(mixed.select("key", F.col("hub.root").alias("other"), F.col("hub.text").alias("hub")), "key").filter("root != other")
             pairs = met.filter(fits("text", "hub")).select(F.col("text.fp").alias("a"), F.col("hub.fp").alias("b"))
         else:
-            texts = rooted.join(mixed.select("key"), "key", "left_semi").select("text.fp", "root").distinct()
-            pairs = verify.by_rare_shingles(written(texts, "simhash-texts"))
+            keys = bitmap(mixed, "key")
+            texts = written(with_root(members.filter(_any_in(keys)(F.col("keys")))).select("fp", "root"), "simhash-texts")  # and a few others by chance
+            keys.destroy()
+            pairs = verify.by_rare_shingles(texts)
         pairs = written(ordered(pairs), "simhash-pairs")
         found = None if pairs.isEmpty() else verify(pairs)
         if found:
