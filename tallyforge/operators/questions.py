@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.parsing import portable_hash
 from tallyforge.operators import facts as fx
-from tallyforge.operators.shape import decimals
+from tallyforge.operators.shape import decimals, plain
 
 PER_ENTITY, ATTEMPTS, VARIANTS = 6, 24, 3
 
@@ -118,6 +118,17 @@ def candidates(df: DataFrame | fx.Cells, seed: int = 0, attempts: int = ATTEMPTS
     return kept.filter(c_ok & d_ok & k_ok)
 
 
+def json_row(df: DataFrame, without: list[str]) -> Column:
+    """A row as JSON, nulls left out; doubles are written as ``plain`` does, large sums too."""
+
+    def member(name: str, kind: str) -> Column:
+        c = F.col(name)
+        text = F.concat(F.lit(f'"{name}":'), plain(c)) if kind == "double" else F.regexp_replace(F.to_json(F.struct(name)), r"^\{|\}$", "")
+        return F.when(c.isNotNull(), text)
+
+    return F.concat(F.lit("{"), F.concat_ws(",", *[member(n, k) for n, k in df.dtypes if n not in without]), F.lit("}"))
+
+
 def answers(df: DataFrame | fx.Cells, asked: DataFrame, by: fx.Convention) -> DataFrame:
     """``asked`` with the answer's text where it is usable, null elsewhere. As in the questions' SQL, a month ends with its
     last whole second: what lies in the fraction behind it is in no month."""
@@ -128,7 +139,7 @@ def answers(df: DataFrame | fx.Cells, asked: DataFrame, by: fx.Convention) -> Da
     listed = fx.within_month(df.all).groupBy(*fx.KEY, "category").agg(F.sum("n").alias("listed_c"))
     all_listed = listed.groupBy(*fx.KEY).agg(F.sum("listed_c").alias("listed"))
     total = lambda c, name: cat.select(*fx.KEY, F.col("category").alias(c), F.col("total").alias(name))
-    row = lambda f, name: f.select(*fx.KEY, F.to_json(F.struct(*[x for x in f.columns if x not in fx.KEY])).alias(name))
+    row = lambda f, name: f.select(*fx.KEY, json_row(f, fx.KEY).alias(name))
     out = asked.join(total("c", "total_c"), [*fx.KEY, "c"], "left").join(total("d", "total_d"), [*fx.KEY, "d"], "left")
     out = out.join(listed.withColumnRenamed("category", "c"), [*fx.KEY, "c"], "left").join(all_listed, fx.KEY, "left")
     out = out.join(month, fx.KEY, "left").join(month.select("entity_id", F.col("month").alias("month2"), F.col("total").alias("total2")), ["entity_id", "month2"], "left")

@@ -23,6 +23,13 @@ def decimals(c: Column) -> Column:
     return c.cast("decimal(30,6)").cast("decimal(30,2)").cast("string")
 
 
+def plain(c: Column) -> Column:
+    """A double's text; without an exponent from 1e-4 up to below 1e16."""
+    size = F.abs(c)
+    fixed = F.regexp_replace(c.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3)), fixed).otherwise(c.cast("string"))
+
+
 def serialized(columns: list[str], without: set[str] = frozenset()) -> Column:
     """``{date: ..., amount: ..., ...}``. Null values print as None; null extras are left out."""
     values = {"date": F.date_format("timestamp", "yyyy-MM-dd HH:mm"), "amount": decimals(F.col("amount"))}
