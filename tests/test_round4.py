@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyforge.operators import facts, questions, shape
+from tallyforge.operators import facts, questions, shape, split
 
 
 def test_doubles_without_exponents(spark):
@@ -22,3 +22,15 @@ def test_answers_of_large_sums(spark):
     asked = asked.select("entity_id", F.col("number").alias("attempt"), "number", F.lit("x").alias("c"), F.lit(None).cast("string").alias("d"), F.expr("TIMESTAMP_NTZ '1996-01-01 00:00:00'").alias("month"), F.lit(None).cast("timestamp_ntz").alias("month2"))
     got = {r["number"]: r["reference_answer"] for r in questions.answers(rows, asked, facts.Convention(True, "O")).collect()}
     assert got == {number["top_category"]: '{"category":"x","total":103408209.36}', number["largest"]: '{"timestamp":"1996-01-02T00:00:00.000","amount":-11489801.04,"category":"x"}'}
+
+
+def test_examples_of_large_sums(spark):
+    """The training examples carry the same texts."""
+    rows = spark.range(40).select(
+        F.lit("e").alias("entity_id"), F.expr("TIMESTAMP_NTZ '1996-01-02 00:00:00'").alias("timestamp"), F.lit(-2.5e7).alias("amount"), F.lit("USD").alias("currency"), F.lit("x").alias("category"),
+        F.lit("web").alias("channel"), F.lit("S").alias("counterparty"), F.lit("O").alias("status"), F.lit(None).cast("string").alias("label"), F.col("id").alias("_row_id"),
+    )
+    cells = facts.cells(rows)
+    made = questions.examples(cells, split.cutoffs(rows), facts.Convention(True, "O"), per_entity=24)
+    got = {r["reference_answer"] for r in made.collect() if r["reference_answer"].startswith("{")}
+    assert got and got <= {'{"category":"x","total":1000000000.0}', '{"timestamp":"1996-01-02T00:00:00.000","amount":-25000000.0,"category":"x","counterparty":"S"}'}
