@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyforge.operators import facts, questions, shape, split
+from tallyforge.operators import facts, questions, resolve, shape, split
 
 
 def test_doubles_without_exponents(spark):
@@ -34,3 +34,14 @@ def test_examples_of_large_sums(spark):
     made = questions.examples(cells, split.cutoffs(rows), facts.Convention(True, "O"), per_entity=24)
     got = {r["reference_answer"] for r in made.collect() if r["reference_answer"].startswith("{")}
     assert got and got <= {'{"category":"x","total":1000000000.0}', '{"timestamp":"1996-01-02T00:00:00.000","amount":-25000000.0,"category":"x","counterparty":"S"}'}
+
+
+def test_distinct_values_are_exact(spark):
+    """However many they are, where no sketch is asked for; nulls and missing values are no values."""
+    df = spark.range(60_000).select(
+        F.concat(F.lit("n"), "id").alias("all"), (F.col("id") % 7).cast("double").alias("a `b"), F.when(F.col("id") % 2 == 0, "2026-01-02").when(F.col("id") % 4 == 1, "x").when(F.col("id") % 8 == 3, "").alias("mixed"), F.lit(None).cast("string").alias("none")
+    ).withColumnRenamed("a `b", "a b")
+    got = {r["name"]: tuple(r)[1:] for r in resolve.full_profile(df.repartition(3)).collect()}
+    assert got == {"all": (60_000, 60_000, 0.0, 0.0), "a b": (60_000, 7, 0.0, 1.0), "mixed": (45_000, 2, 30 / 45, 0.0), "none": (0, 0, None, None)}
+    sketched = {r["name"]: r for r in resolve.full_profile(df, resolve.SKETCH).collect()}
+    assert sketched["mixed"]["distinct"] == 2 and sketched["all"]["n"] == 60_000 != sketched["all"]["distinct"]
