@@ -1,8 +1,14 @@
 """Large tables: sums of millions, many distinct values, losses between two decimals, texts that differ in few literals."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import facts, questions, resolve, shape, split
+from tallyforge.plans import queries
+
+DATA = "/root/testdata/sf0.001"
 
 
 def test_doubles_without_exponents(spark):
@@ -45,3 +51,10 @@ def test_distinct_values_are_exact(spark):
     assert got == {"all": (60_000, 60_000, 0.0, 0.0), "a b": (60_000, 7, 0.0, 1.0), "mixed": (45_000, 2, 30 / 45, 0.0), "none": (0, 0, None, None)}
     sketched = {r["name"]: r for r in resolve.full_profile(df, resolve.SKETCH).collect()}
     assert sketched["mixed"]["distinct"] == 2 and sketched["all"]["n"] == 60_000 != sketched["all"]["distinct"]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
+def test_profile_of_all_columns(spark):
+    customers = queries.load(spark, DATA, "customer")
+    got = {r["name"]: r["n"] for r in queries.content_profile(spark, DATA).collect()}
+    assert got == {c: customers.count() for c in customers.columns}
