@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tallyforge.operators import sqlpairs
 from tallyforge.operators.narrate import whole
@@ -118,6 +122,19 @@ def perplexity(loss: Column) -> Column:
     return F.when(loss < 20, F.exp(loss)).otherwise(F.lit(float("inf")))
 
 
+@F.arrow_udf(DoubleType())
+def _exp(losses: pa.Array) -> pa.Array:
+    """The C library's ``exp``: the JVM's is another double for one value in ten."""
+    return pa.array([None if x is None else math.exp(x) for x in losses.to_pylist()], pa.float64())
+
+
+def rounded_perplexity(loss: Column, digits: int) -> Column:
+    """``perplexity`` as SQL's ``round(exp(loss), digits)`` gives it elsewhere, to the last bit: scaled, rounded and scaled
+    back. ``F.round`` of the JVM's ``exp`` is another number for about one loss in a million."""
+    scale = float(10**digits)
+    return F.when(loss < 20, F.round(_exp(F.when(loss < 20, loss)) * scale, 0) / scale).otherwise(F.lit(float("inf")))
+
+
 def facts_string(f) -> Column:
     """The facts that a summary may use, as ``name: value`` pairs. ``f``: a function from a fact's name to its column."""
     parts = [

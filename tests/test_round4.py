@@ -2,10 +2,11 @@
 
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import facts, questions, resolve, shape, split
+from tallyforge.operators import evaluate, facts, questions, resolve, shape, split
 from tallyforge.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -58,3 +59,16 @@ def test_profile_of_all_columns(spark):
     customers = queries.load(spark, DATA, "customer")
     got = {r["name"]: r["n"] for r in queries.content_profile(spark, DATA).collect()}
     assert got == {c: customers.count() for c in customers.columns}
+
+
+@pytest.mark.parametrize("digits", [2, 3])
+def test_perplexity_is_the_sql_s_to_the_last_bit(spark, digits):
+    """Losses whose perplexity lies between two decimals, where the JVM's exp and rounding give another one."""
+    near = [18.9916359796974, 19.80537024761841, 19.6657743932252, 18.942364801132445, 19.145440198875395, 19.22532075048401, 19.70844508772446, 19.76817461178074]
+    losses = [*near, *(i / 1000 for i in range(0, 20_100, 7)), -5.0, 800.0, 20.0, None]
+    got = spark.createDataFrame([(x,) for x in losses], "loss double").select("loss", evaluate.rounded_perplexity(F.col("loss"), digits).alias("p")).collect()
+    theirs = duckdb.execute(f"SELECT CASE WHEN x < 20 THEN round(exp(x), {digits}) ELSE CAST('inf' AS DOUBLE) END FROM (SELECT unnest(?::DOUBLE[]) AS x)", [losses]).fetchall()
+    assert [r["p"] for r in got] == [r[0] for r in theirs]
+    if digits == 3:
+        jvm = spark.createDataFrame([(x,) for x in near], "loss double").select(F.round(evaluate.perplexity(F.col("loss")), 3).alias("p")).collect()
+        assert all(a["p"] != b[0] for a, b in zip(jvm, theirs)), "what it was before"
