@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,6 +28,7 @@ from tallyforge.sources.scratch import kept
 SHAPES_A_JOB, LARGE_RESULT = 24, 1_000_000
 #: Texts of a shape that are halved in search of those that fail; of a shape with more, each is answered alone.
 HALVED = 1024
+_QUOTED = r"'[^']*'|\"[^\"]*\"|`[^`]*`"
 LITERAL = r"'[^']*(?:''[^']*)*'"
 #: Spark's error classes and messages that speak of a query's values, not of the cluster.
 _VALUE_ERRORS = ("SparkArithmeticException", "SparkDateTimeException", "SparkNumberFormatException", "SparkRuntimeException", "SparkArrayIndexOutOfBoundsException")
@@ -54,7 +56,7 @@ class Clauses:
 def _outer(sql: str) -> str:
     """``sql`` with what stands in quotes or brackets blanked out, place by place."""
     blank = lambda m: " " * len(m.group())
-    text = re.sub(r"'[^']*'|\"[^\"]*\"|`[^`]*`", lambda m: "x" * len(m.group()), sql)
+    text = re.sub(_QUOTED, lambda m: "x" * len(m.group()), sql)
     while (less := re.sub(r"\([^()]*\)", blank, text)) != text:
         text = less
     return text
@@ -96,6 +98,66 @@ def content(df: DataFrame) -> Column:
     return F.xxhash64(F.array(*[one(n, k) for n, k in df.dtypes])) if df.columns else F.lit(0).cast("long")
 
 
+_AGGREGATE = re.compile(r"^\s*select\b.*?\b(?P<from>from\s+)(?P<table>[\w.]+)\s+(?P<where>where\b).*?(?P<group>\bgroup\s+by\b.*)?$", re.I | re.S)
+_LITERAL_COLUMN = r"\bp\.l\d+\b"
+
+
+def _aggregated(spark: SparkSession, body: str, params: str) -> DataFrame | None:
+    """An aggregate over one table for all literals: the table is joined with them by its whole condition, so by the columns
+    that have to equal them, and grouped by text. (As a lateral subquery the table would be joined with the other literals
+    alone, each row with each different range of time.) None if the body isn't of this form."""
+    outer = _outer(body)
+    m = _AGGREGATE.match(outer)
+    if not m or len(re.findall(r"\bselect\b", re.sub(LITERAL, "", body), re.I)) > 1 or re.search(r"\b(distinct|having|over|window|rollup|cube|grouping\s+sets)\b", outer, re.I):
+        return None
+    end = m.start("group") if m.group("group") else len(body)
+    table = body[slice(*m.span("table"))]
+    columns, where, group = body[: m.start("from")].strip()[len("select") :], body[m.end("where") : end], re.sub(r"^group\s+by\b", "", body[end:], flags=re.I)
+    if not re.search(_LITERAL_COLUMN, where) or re.search(_LITERAL_COLUMN, columns + " " + group) or re.search(r"\b(\d+|all)\b", group, re.I):
+        return None
+    source = f"FROM {params} p JOIN {table} ON {where}"
+    try:
+        if group:
+            return spark.sql(f"SELECT p._text, {columns} {source} GROUP BY p._text, {group}")
+        if _analysed(spark, f"SELECT p._text, {columns} {source}"):
+            return None  # no aggregate
+        found = spark.sql(f"SELECT p._text, {columns}, true AS _in {source} GROUP BY p._text")
+        none = spark.sql(f"SELECT {columns} FROM {table} WHERE false")  # the row of texts that meet no rows
+    except (AnalysisException, ParseException):
+        return None
+    names = none.columns
+    value = [F.when(F.col("_in"), F.col(f"_m{i}")).otherwise(F.col(f"_e{i}")).alias(x) for i, x in enumerate(names)]
+    met = found.toDF("_text", *[f"_m{i}" for i in range(len(names))], "_in")
+    return spark.table(params).select("_text").join(met, "_text", "left").join(F.broadcast(none.toDF(*[f"_e{i}" for i in range(len(names))])), F.lit(True)).select("_text", *value)  # one row
+
+
+def _of_aggregates(spark: SparkSession, body: str, params: str) -> DataFrame | None:
+    """A list of scalar subqueries that are such aggregates, without a source of its own; None if the body is none."""
+    parts, at, values = [], 0, []
+    flat = re.sub(_QUOTED, lambda m: "x" * len(m.group()), body)
+    for m in re.finditer(r"\(\s*select\b", flat, re.I):
+        if m.start() < at:
+            continue
+        depth = accumulate((x == "(") - (x == ")") for x in flat[m.start() :])
+        end = m.start() + next((i for i, d in enumerate(depth) if not d), len(body))
+        values.append(None if re.search(r"\bgroup\s+by\b", flat[m.start() : end], re.I) else _aggregated(spark, body[m.start() + 1 : end], params))
+        if values[-1] is None or len(values[-1].columns) != 2:
+            return None
+        parts += [body[at : m.start()], f"_v{len(values) - 1}"]
+        at = end + 1
+    text = ("".join(parts) + body[at:]).strip()
+    if not values or re.search(r"\bselect\b|" + _LITERAL_COLUMN, text[len("select"):], re.I):
+        return None
+    both = reduce(lambda a, b: a.join(b, "_text"), [v.toDF("_text", f"_v{i}") for i, v in enumerate(values)])
+    both.createOrReplaceTempView(f"{params}_values")
+    try:
+        return spark.sql(f"SELECT _text, {text[len('select'):]} FROM {params}_values")
+    except (AnalysisException, ParseException):
+        return None
+    finally:
+        spark.catalog.dropTempView(f"{params}_values")
+
+
 def _answer(spark: SparkSession, c: Clauses, params: str | None) -> DataFrame:
     """Rows of a shape for all its literals: text, the order's keys k0, k1, ..., hash; without ``params`` of one query.
     Keys are looked for among the outputs first, as SQL does, then among the source's columns."""
@@ -103,6 +165,9 @@ def _answer(spark: SparkSession, c: Clauses, params: str | None) -> DataFrame:
     plain = [re.sub(r"\s+(asc|desc)?(\s+nulls\s+(first|last))?\s*$", "", k + " ", flags=re.I).strip() for k in c.keys]
 
     def joined(body: str, source: int) -> DataFrame:
+        aggregate = params and (_aggregated if source >= 0 else _of_aggregates)(spark, body, params)
+        if aggregate:
+            return aggregate
         if params and source < 0:
             return spark.sql(f"SELECT {own}, {body.strip()[len('select'):]} FROM {params} p")
         if params:

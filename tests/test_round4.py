@@ -1,12 +1,13 @@
 """Large tables: sums of millions, many distinct values, losses between two decimals, texts that differ in few literals."""
 
 import os
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import evaluate, facts, questions, resolve, shape, split
+from tallyforge.operators import evaluate, facts, questions, resolve, shape, split, sqlpairs
 from tallyforge.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -72,3 +73,27 @@ def test_perplexity_is_the_sql_s_to_the_last_bit(spark, digits):
     if digits == 3:
         jvm = spark.createDataFrame([(x,) for x in near], "loss double").select(F.round(evaluate.perplexity(F.col("loss")), 3).alias("p")).collect()
         assert all(a["p"] != b[0] for a, b in zip(jvm, theirs)), "what it was before"
+
+
+def test_aggregates_of_many_texts_meet_by_equal_columns(spark):
+    """A range of time beside the entity must not join each row with each range; empty groups, groups and scalar subqueries
+    keep their results."""
+    spark.range(3000).selectExpr("CAST(id % 50 AS STRING) AS who", "id % 7 AS k", "CAST(id AS DOUBLE) AS v", "TIMESTAMP_NTZ '2026-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 90 AS INT)) AS at").createOrReplaceTempView("visits")
+    count = lambda who, a, b: f"SELECT COUNT(*), SUM(v) FROM visits WHERE who='{who}' AND k IN (1,2) AND at BETWEEN '{a}' AND '{b}'"
+    both = lambda who, a, b: f"SELECT (SELECT COUNT(*) FROM visits WHERE who='{who}' AND at >= '{a}') AS x, coalesce((SELECT MAX(v) FROM visits WHERE who='{who}' AND at < '{b}'), 0) AS y"
+    top = lambda who, a, b: f"SELECT k, SUM(v) AS t FROM visits WHERE who='{who}' AND at BETWEEN '{a}' AND '{b}' GROUP BY k ORDER BY t DESC LIMIT 1"
+    days = [f"2026-0{1 + i // 28}-{1 + i % 28:02d}" for i in range(56)]
+    cases = [(w, a, b) for w in ("3", "17", "nobody") for a, b in zip(days, days[9:])]
+    pairs = [(f(*c).replace("SELECT", "select", 1), f(*c)) for f in (count, both, top) for c in cases] + [(f(*c), f("5", *c[1:])) for f in (count, both, top) for c in cases[:90:7]]
+    for shape in (count, both, top):
+        spark.createDataFrame([(1, *"abcd")], "_text long, l0 string, l1 string, l2 string, l3 string").createOrReplaceTempView("given")
+        pieces = re.split(r"'[^']*'", shape("a", "b", "c"))
+        c = sqlpairs.clauses(pieces[0] + "".join(f"p.l{i}{x}" for i, x in enumerate(pieces[1:])))
+        plan = sqlpairs._answer(spark, c, "given")._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join" in x and "visits" not in x and "true" not in x]
+        assert not [x for x in joins if " >= " in x and " = " not in x] and any("who" in x or "_text" in x for x in joins), plan
+    made = sqlpairs.rates(spark, spark.createDataFrame([(a, b, a, b) for a, b in pairs], "generated string, reference string, g string, r string"), keep=["g", "r"])
+    got = {(r["g"], r["r"]): (r["executable"], r["correct"]) for r in made.pairs.collect()}
+    assert made.alone == 0 and all(got[a, b] == (True, True) for a, b in pairs[: 3 * len(cases)])
+    for a, b in pairs[3 * len(cases) :: 9]:
+        assert got[a, b] == sqlpairs.same_rows(spark, a, b), (a, b)
