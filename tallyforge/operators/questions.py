@@ -118,15 +118,15 @@ def candidates(df: DataFrame | fx.Cells, seed: int = 0, attempts: int = ATTEMPTS
     return kept.filter(c_ok & d_ok & k_ok)
 
 
-def json_row(df: DataFrame, without: list[str]) -> Column:
-    """A row as JSON, nulls left out; doubles are written as ``plain`` does, large sums too."""
+def json_row(row: str, fields: list[tuple[str, str]]) -> Column:
+    """A struct of (name, type) fields as JSON, nulls left out; doubles are written as ``plain`` does, large sums too."""
 
     def member(name: str, kind: str) -> Column:
-        c = F.col(name)
-        text = F.concat(F.lit(f'"{name}":'), plain(c)) if kind == "double" else F.regexp_replace(F.to_json(F.struct(name)), r"^\{|\}$", "")
+        c = F.col(f"{row}.{name}")
+        text = F.concat(F.lit(f'"{name}":'), plain(c)) if kind == "double" else F.btrim(F.to_json(F.struct(c.alias(name))), F.lit("{}"))
         return F.when(c.isNotNull(), text)
 
-    return F.concat(F.lit("{"), F.concat_ws(",", *[member(n, k) for n, k in df.dtypes if n not in without]), F.lit("}"))
+    return F.when(F.col(row).isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *[member(*x) for x in fields]), F.lit("}")))
 
 
 def answers(df: DataFrame | fx.Cells, asked: DataFrame, by: fx.Convention) -> DataFrame:
@@ -139,18 +139,20 @@ def answers(df: DataFrame | fx.Cells, asked: DataFrame, by: fx.Convention) -> Da
     listed = fx.within_month(df.all).groupBy(*fx.KEY, "category").agg(F.sum("n").alias("listed_c"))
     all_listed = listed.groupBy(*fx.KEY).agg(F.sum("listed_c").alias("listed"))
     total = lambda c, name: cat.select(*fx.KEY, F.col("category").alias(c), F.col("total").alias(name))
-    row = lambda f, name: f.select(*fx.KEY, json_row(f, fx.KEY).alias(name))
+    row = lambda f, name: f.select(*fx.KEY, F.struct(*[x for x in f.columns if x not in fx.KEY]).alias(name))
     out = asked.join(total("c", "total_c"), [*fx.KEY, "c"], "left").join(total("d", "total_d"), [*fx.KEY, "d"], "left")
     out = out.join(listed.withColumnRenamed("category", "c"), [*fx.KEY, "c"], "left").join(all_listed, fx.KEY, "left")
     out = out.join(month, fx.KEY, "left").join(month.select("entity_id", F.col("month").alias("month2"), F.col("total").alias("total2")), ["entity_id", "month2"], "left")
     top = fx.top_category(rows).select(*fx.KEY, F.col("top_category").alias("category"), F.col("top_category_amount").alias("total"))
-    out = out.join(row(top, "top"), fx.KEY, "left").join(row(fx.extreme(rows), "most"), fx.KEY, "left").join(row(fx.extreme(rows, False), "least"), fx.KEY, "left")
+    most, least = fx.extreme(rows), fx.extreme(rows, False)
+    out = out.join(row(top, "top"), fx.KEY, "left").join(row(most, "most"), fx.KEY, "left").join(row(least, "least"), fx.KEY, "left")
+    text = lambda f, name: json_row(name, [x for x in f.dtypes if x[0] not in fx.KEY])
     found = {
         "spend_by_category": decimals(F.col("total_c")),
         "spend": decimals(F.col("total")),
         "count": F.col("n").cast("string"),
         "mean": decimals(F.col("mean")),
-        "top_category": F.col("top"), "largest": F.col("most"), "smallest": F.col("least"),
+        "top_category": text(top, "top"), "largest": text(most, "most"), "smallest": text(least, "least"),
         "compare_categories": F.concat("c", F.lit(": "), decimals(F.col("total_c")), F.lit("; "), "d", F.lit(": "), decimals(F.col("total_d"))),
         "compare_periods": F.concat(F.lit("period 1: "), decimals(F.col("total")), F.lit(", period 2: "), decimals(F.col("total2"))),
         "list": F.concat(F.col("listed").cast("string"), F.lit(" matching row(s)")),
